@@ -90,6 +90,10 @@ MEASURES: dict[str, tuple[int | None, Callable]] = {
     "tpr_rate_pct": (2, _rate(lambda: F.col("tpr_only") == 1)),
     "combined_promo_rate_pct": (2, _rate(lambda: F.col("promo_type") == "COMBINED")),
     "pct_rows_discounted": (2, _rate(lambda: F.col("discount_pct") > 0)),
+    "feature_share": (4, _mean("feature")),
+    "display_share": (4, _mean("display")),
+    "tpr_share": (4, _mean("tpr_only")),
+    "promo_share": (4, lambda d: half_up(ratio(count_where(promoted()), F.count(F.lit(1))), d)),
     "feature_rows": (None, lambda d: count_where(F.col("feature") == 1)),
     "display_rows": (None, lambda d: count_where(F.col("display") == 1)),
     "tpr_rows": (None, lambda d: count_where(F.col("tpr_only") == 1)),

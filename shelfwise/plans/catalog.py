@@ -7,7 +7,10 @@ from importlib import import_module
 from shelfwise.plans.context import REGISTRY, runner
 from shelfwise.plans.oracle.base import ORACLE
 
-_AREAS = ("kpis", "sales", "product", "store", "pricing", "promotion", "customer")
+_AREAS = (
+    "kpis", "sales", "product", "store", "pricing", "promotion", "customer", "series", "ctes", "rankings",
+    "segments",
+)
 
 for _area in _AREAS:
     import_module(f"shelfwise.plans.{_area}")

@@ -163,6 +163,10 @@ _M = {
     "tpr_rate_pct": (2, lambda d: H(rate("tpr_only = 1"), d)),
     "combined_promo_rate_pct": (2, lambda d: H(rate("promo_type = 'COMBINED'"), d)),
     "pct_rows_discounted": (2, lambda d: H(rate("discount_pct > 0"), d)),
+    "feature_share": (4, lambda d: H(mean("feature"), d)),
+    "display_share": (4, lambda d: H(mean("display"), d)),
+    "tpr_share": (4, lambda d: H(mean("tpr_only"), d)),
+    "promo_share": (4, lambda d: H(mean("is_promoted::INT"), d)),
     "feature_rows": (0, lambda d: n("sum(feature)")),
     "display_rows": (0, lambda d: n("sum(display)")),
     "tpr_rows": (0, lambda d: n("sum(tpr_only)")),

@@ -9,7 +9,7 @@ from shelfwise.plans.oracle.base import ORACLE
 
 _AREAS = (
     "kpis", "sales", "product", "store", "pricing", "promotion", "customer", "series", "ctes", "rankings",
-    "segments",
+    "segments", "dashboard", "advanced", "views", "final_report",
 )
 
 for _area in _AREAS:

@@ -104,3 +104,56 @@ def global_percentiles(df: DataFrame, value: str, ties: Sequence[str]) -> DataFr
         F.when(total > 1, (F.col("rank_value") - 1) / (total - 1)).otherwise(0.0).alias("percent_rank"),
         ((F.col("rank_value") - 1 + F.col("peers")) / total).alias("cume_dist"),
     )
+
+
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], digits: int = 4
+) -> DataFrame:
+    """Exact interpolated quantiles per group, without gathering a group.
+
+    Rows fold to counts per (group, value); the wanted positions are found
+    with two-level prefix sums over those counts.  Nulls are left out.
+    """
+    keys = list(keys)
+    x = F.col("_x")
+    counts = (
+        df.select(*keys, F.col(value).cast("double").alias("_x"))
+        .filter(x.isNotNull())
+        .groupBy(*keys, "_x")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    spans = counts.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_n").alias("_total"))
+    width = F.nullif((F.col("_hi") - F.col("_lo")) / F.lit(float(_BUCKETS)), F.lit(0.0))
+    bucketed = counts.join(spans, keys).withColumn(
+        "_bucket", F.coalesce(F.floor((x - F.col("_lo")) / width), F.lit(0)).cast("int")
+    )
+    before = (Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    base = bucketed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_t")).select(
+        *keys,
+        "_bucket",
+        F.coalesce(F.sum("_t").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(*before)), zero).alias(
+            "_base"
+        ),
+    )
+    inside = F.coalesce(
+        F.sum("_n").over(Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(*before)), zero
+    )
+    placed = bucketed.withColumn("_inside", inside).join(base, [*keys, "_bucket"])
+    first = F.col("_base") + F.col("_inside")
+    last = first + F.col("_n") - 1
+
+    def at(position):
+        return F.max(F.when((position >= first) & (position <= last), x))
+
+    picks, result = [], []
+    for name, p in quantiles.items():
+        spot = F.lit(float(p)) * (F.col("_total") - 1)
+        picks += [
+            at(F.floor(spot)).alias(f"_{name}_a"),
+            at(F.ceil(spot)).alias(f"_{name}_b"),
+            F.max(spot - F.floor(spot)).alias(f"_{name}_f"),
+        ]
+        a, b, f = F.col(f"_{name}_a"), F.col(f"_{name}_b"), F.col(f"_{name}_f")
+        result.append(F.round((a + (b - a) * f) * F.lit(1.00000000000001), digits).alias(name))
+    return placed.groupBy(*keys).agg(*picks).select(*keys, *result)

@@ -108,6 +108,40 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivered_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as an unclean delivery, for the checks and the repair steps.
+
+    Returned lines count as units but bring no spend, visit or household, so
+    cells of returned lines alone arrive with zero spend, no price and no
+    visits.  Levers arrive as line counts, not as 0/1.
+    """
+    kept = F.col("feature") == 0
+    sums = ("units", "gross", "net", "kept_units", "feature", "display", "tpr_only")
+    lines = sales_lines(spark, sf_dir).withColumns(
+        {"net": F.when(kept, F.col("net")).otherwise(0), "kept_units": F.when(kept, F.col("units")).otherwise(0),
+         "kept": kept.cast("int")}
+    )
+    add = [F.sum(c).alias(c) for c in sums]
+    per_order = lines.groupBy(*_CELL, "o_custkey", "l_orderkey").agg(*add, F.max("kept").alias("kept"))
+    per_customer = per_order.groupBy(*_CELL, "o_custkey").agg(*add, F.sum("kept").alias("visits"))
+    cells = per_customer.groupBy(*_CELL).agg(
+        *add, F.sum("visits").alias("visits"), F.count(F.when(F.col("visits") > 0, 1)).alias("hhs")
+    )
+    priced, sold = F.col("kept_units") > 0, F.col("units") > 0
+    return cells.select(
+        *_CELL,
+        "units",
+        "visits",
+        "hhs",
+        _money(F.col("net")).alias("spend"),
+        _money(F.when(priced, _div_half_up("net", "kept_units"))).alias("price"),
+        _money(F.when(sold, _div_half_up("gross", "units"))).alias("base_price"),
+        F.col("feature").cast("int").alias("feature"),
+        F.col("display").cast("int").alias("display"),
+        F.col("tpr_only").cast("int").alias("tpr_only"),
+    )
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
@@ -150,12 +184,13 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store lookup as delivered: one row per supplier, so a store repeats with
     conflicting segments.  Input of the duplicate checks and of the dedup."""
-    return _store_attributes(
+    rows = (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("seg_value_name", _segment(F.col("s_acctbal")))
-    , "s_suppkey")
+    )
+    return _store_attributes(rows, "s_suppkey")
 
 
 def _store_attributes(df: DataFrame, *extra: str) -> DataFrame:

@@ -13,6 +13,11 @@ from shelfwise.operators.star import Star
 from shelfwise.sources import crosswalk, marts
 
 
+# Categories of the test tables that play the priority and the risky category.
+PRIORITY = ("ECONOMY", "PROMO")
+RISKY = "ECONOMY"
+
+
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -27,6 +32,11 @@ class Context:
     def sales(self, *dims: str) -> DataFrame:
         return self.star.sales(*dims)
 
+    @cached_property
+    def features(self) -> DataFrame:
+        """Model table; the test categories stand in for the priority ones."""
+        return marts.stored_features(self.spark, self.sf_dir, PRIORITY)
+
     @cached_property
     def transactions(self) -> DataFrame:
         """Fact with its week as a date, the shape of the transaction table."""

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.features import model_table
 from shelfwise.operators.star import Star, build_calendar, build_star
 from shelfwise.session import shared_dir, tune
 from shelfwise.sources import crosswalk
@@ -71,6 +72,35 @@ def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     return read_star(spark, _STORED[state])
 
 
+def stored_features(spark: SparkSession, sf_dir: str, priority: tuple[str, ...]) -> DataFrame:
+    """Model table next to the stored star, so that fits share one build."""
+    star = stored_star(spark, sf_dir)
+    root = shared_dir(spark)
+    if root is None:
+        return model_table(star, priority)
+    state = (spark.sparkContext.applicationId, root, sf_dir, input_state(spark, sf_dir))
+    if (*state, priority) not in _STORED:
+        path = f"{_STORED[state]}/features-{uuid.uuid4().hex}"
+        write_table(model_table(star, priority), path, cluster_by=("week_end_date", "store_num", "upc"))
+        _STORED[*state, priority] = path
+    return spark.read.parquet(_STORED[*state, priority])
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """The same rows read back from a table in the shared folder.
+
+    Iterative jobs (model fits, searches) read their input many times; after
+    this a lost executor costs a re-read, not a recomputation.  Without a
+    shared folder the rows are persisted instead.
+    """
+    root = shared_dir(df.sparkSession)
+    if root is None:
+        return df.persist()
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refresh_mart(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Materialise a named result.  With partitions, only those present in
     ``df`` are replaced, so a weekly refresh rewrites just the changed weeks."""

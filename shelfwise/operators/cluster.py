@@ -43,12 +43,12 @@ def store_profile(star: Star) -> DataFrame:
 def standardise(df: DataFrame, columns: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
     """z-scores with the population deviation, assembled into ``features``."""
     x = {c: dbl(c) for c in columns}
-    one = df.agg(
+    # One row of means and deviations is all that reaches the driver.
+    stat = df.agg(
         *[F.avg(v).alias(f"m_{c}") for c, v in x.items()], *[F.stddev_pop(v).alias(f"s_{c}") for c, v in x.items()]
-    )
-    stat = lambda name: one.select(name).scalar()
+    ).first()
     scaled = df.withColumns(
-        {f"z_{c}": F.coalesce((v - stat(f"m_{c}")) / F.nullif(stat(f"s_{c}"), F.lit(0.0)), F.lit(0.0)) for c, v in x.items()}
+        {f"z_{c}": (v - F.lit(stat[f"m_{c}"])) / F.lit(stat[f"s_{c}"] or 1.0) for c, v in x.items()}
     )
     return VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="features").transform(scaled)
 

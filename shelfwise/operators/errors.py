@@ -29,12 +29,10 @@ def error_frame(scored: DataFrame, actual: str = "units", predicted: str = "pred
 
 def error_summary(errors: DataFrame) -> DataFrame:
     """Mean, median and 95th percentile of the absolute error, and SMAPE."""
-    keyed = errors.withColumn("scope", F.lit("all"))
-    means = keyed.groupBy("scope").agg(
+    spread = group_quantiles(errors, [], "abs_error", {"median_abs_error": 0.5, "p95_abs_error": 0.95})
+    return errors.agg(
         half_up(F.avg("abs_error"), 4).alias("mean_abs_error"), half_up(F.avg("smape_error"), 4).alias("overall_smape")
-    )
-    spread = group_quantiles(keyed, ["scope"], "abs_error", {"median_abs_error": 0.5, "p95_abs_error": 0.95})
-    return means.join(spread, "scope").drop("scope")
+    ).withColumns({c: spread.select(c).scalar() for c in spread.columns})
 
 
 def discount_bucket(c: str = "discount_pct") -> Column:

@@ -334,15 +334,11 @@ def mutual_information(
     """
     cuts = {f"c{i}": i / bins for i in range(1, bins)}
 
-    def bin_of(v: str) -> Column:
-        return sum(((F.col(v) > F.col(c)).cast("int") for c in cuts), F.lit(0))
-
-    y_cuts = group_quantiles(df.select(F.lit("y").alias("_k"), F.col(target).alias("_y")), ["_k"], "_y", cuts)
-    y_binned = (
-        df.select(F.lit("y").alias("_k"), F.col(target).alias("_y"), *columns)
-        .join(y_cuts, "_k")
-        .select(bin_of("_y").alias("yb"), *columns)
-    )
+    def bin_of(v: str, at: Callable[[str], Column] = F.col) -> Column:
+        return sum(((F.col(v) > at(c)).cast("int") for c in cuts), F.lit(0))
+
+    y_cuts = group_quantiles(df, [], target, cuts).first()
+    y_binned = df.select(bin_of(target, lambda c: F.lit(y_cuts[c])).alias("yb"), *columns)
     rows = long_features(y_binned, columns, "yb")
     edges = group_quantiles(rows, ["feature_name"], "v", cuts)
     joint = (

@@ -112,7 +112,8 @@ def group_quantiles(
     """Exact interpolated quantiles per group, without gathering a group.
 
     Rows fold to counts per (group, value); the wanted positions are found
-    with two-level prefix sums over those counts.  Nulls are left out.
+    with two-level prefix sums over those counts.  Nulls are left out.  Without
+    keys the result is one row over everything.
     """
     keys = list(keys)
     x = F.col("_x")
@@ -124,7 +125,11 @@ def group_quantiles(
     )
     spans = counts.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_n").alias("_total"))
     width = F.nullif((F.col("_hi") - F.col("_lo")) / F.lit(float(_BUCKETS)), F.lit(0.0))
-    bucketed = counts.join(spans, keys).withColumn(
+    if keys:
+        spanned = counts.join(spans, keys)
+    else:
+        spanned = counts.withColumns({c: spans.select(c).scalar() for c in ("_lo", "_hi", "_total")})
+    bucketed = spanned.withColumn(
         "_bucket", F.coalesce(F.floor((x - F.col("_lo")) / width), F.lit(0)).cast("int")
     )
     before = (Window.unboundedPreceding, -1)

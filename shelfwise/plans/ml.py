@@ -14,7 +14,7 @@ from shelfwise.operators import models as ml
 from shelfwise.operators.features import FEATURES, TARGET, WEEK
 from shelfwise.plans.context import Context, query
 
-ROUNDS, TREES = 15, 15
+ROUNDS, TREES = 8, 10
 LABEL_FRACTION = 5 / 6
 
 
@@ -111,7 +111,7 @@ def baseline_cross_validation(cx: Context):
 
 @query("ml8_boosted_cross_validation")
 def boosted_cross_validation(cx: Context):
-    score = lambda train, test: ml.predict(ml.fit(train, boosted(8)), test)
+    score = lambda train, test: ml.predict(ml.fit(train, boosted(6)), test)
     return ml.fold_summary(ml.cross_validate(cx.features, score))
 
 
@@ -125,7 +125,7 @@ def random_search(cx: Context):
 @query("ml9_tuned_vs_default")
 def tuned_vs_default(cx: Context):
     train, test = split(cx)
-    default = boosted(8)
+    default = boosted(6)
     tuned = default.copy({default.maxDepth: 4, default.stepSize: 0.2})
     return ml.tuned_vs_default(
         {name: ml.predict(ml.fit(train, est), test) for name, est in (("default", default), ("tuned", tuned))}

@@ -9,6 +9,7 @@ from shelfwise.operators import cluster, errors, forecast, models, rules, scenar
 from shelfwise.operators.features import FEATURES, WEEK
 from shelfwise.plans import ml
 from shelfwise.plans.context import PRIORITY, RISKY, Context, query
+from shelfwise.sources.marts import cut_lineage
 
 CATEGORY = ["category"]
 
@@ -72,8 +73,13 @@ def fourier_regression(cx: Context):
 CLUSTERS = 3
 
 
+def scaled_profile(cx: Context):
+    """Standardised profile, read back from a table: the fits re-read it often."""
+    return cluster.standardise(cut_lineage(cluster.store_profile(cx.star), "store_profile"))
+
+
 def clustered(cx: Context):
-    return cluster.assign(cluster.standardise(cluster.store_profile(cx.star)), CLUSTERS)
+    return cluster.assign(scaled_profile(cx), CLUSTERS)
 
 
 @query("cl1_store_profile")
@@ -83,7 +89,7 @@ def store_profile(cx: Context):
 
 @query("cl2_choose_k")
 def choose_k(cx: Context):
-    return cluster.choose_k(cluster.standardise(cluster.store_profile(cx.star)))
+    return cluster.choose_k(scaled_profile(cx))
 
 
 @query("cl3_cluster_profile")
@@ -93,7 +99,7 @@ def cluster_profile(cx: Context):
 
 @query("cl4_principal_axes")
 def principal_axes(cx: Context):
-    return cluster.principal_axes(cluster.standardise(cluster.store_profile(cx.star)))
+    return cluster.principal_axes(scaled_profile(cx))
 
 
 @query("cl5_cluster_by_segment")

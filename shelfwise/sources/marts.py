@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators.features import model_table
 from shelfwise.operators.star import Star, build_calendar, build_star
@@ -14,7 +15,9 @@ from shelfwise.sources import crosswalk
 from shelfwise.sources.panel import write_table
 
 _SOURCES = ("lineitem", "orders", "part", "supplier", "nation", "region")
-_STORED: dict[tuple, str] = {}
+_STAR_TABLES = ("fact", "product", "store", "calendar")
+# What this process has stored: input state -> (folder, schemas).
+_STORED: dict[tuple, tuple] = {}
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> int:
@@ -43,16 +46,21 @@ def write_star(spark: SparkSession, star: Star, root: str) -> Star:
     write_table(star.fact, f"{root}/fact", partition_by=("year",), cluster_by=fact_key)
     write_table(star.product, f"{root}/product")
     write_table(star.store, f"{root}/store")
-    fact = spark.read.parquet(f"{root}/fact").select(*star.fact.columns)
+    fact = _read(spark, f"{root}/fact", star.fact.schema)
     weeks = fact.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("week_end_date"))
-    write_table(build_calendar(weeks), f"{root}/calendar")
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
-    return Star(fact, read("product"), read("store"), read("calendar"))
+    calendar = build_calendar(weeks)
+    write_table(calendar, f"{root}/calendar")
+    return read_star(spark, root, {t: getattr(star, t).schema for t in _STAR_TABLES} | {"calendar": calendar.schema})
 
 
-def read_star(spark: SparkSession, root: str) -> Star:
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
-    return Star(read("fact"), read("product"), read("store"), read("calendar"))
+def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table; with its schema known no footer is read to infer it."""
+    return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+
+
+def read_star(spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None) -> Star:
+    schemas = schemas or {}
+    return Star(**{t: _read(spark, f"{root}/{t}", schemas.get(t)) for t in _STAR_TABLES})
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -67,9 +75,9 @@ def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     state = (spark.sparkContext.applicationId, root, sf_dir, input_state(spark, sf_dir))
     if state not in _STORED:
         path = f"{root}/star-{uuid.uuid4().hex}"
-        write_star(spark, planned_star(spark, sf_dir), path)
-        _STORED[state] = path
-    return read_star(spark, _STORED[state])
+        star = write_star(spark, planned_star(spark, sf_dir), path)
+        _STORED[state] = (path, {t: getattr(star, t).schema for t in _STAR_TABLES})
+    return read_star(spark, *_STORED[state])
 
 
 def stored_features(spark: SparkSession, sf_dir: str, priority: tuple[str, ...]) -> DataFrame:
@@ -80,10 +88,11 @@ def stored_features(spark: SparkSession, sf_dir: str, priority: tuple[str, ...])
         return model_table(star, priority)
     state = (spark.sparkContext.applicationId, root, sf_dir, input_state(spark, sf_dir))
     if (*state, priority) not in _STORED:
-        path = f"{_STORED[state]}/features-{uuid.uuid4().hex}"
-        write_table(model_table(star, priority), path, cluster_by=("week_end_date", "store_num", "upc"))
-        _STORED[*state, priority] = path
-    return spark.read.parquet(_STORED[*state, priority])
+        path = f"{_STORED[state][0]}/features-{uuid.uuid4().hex}"
+        table = model_table(star, priority)
+        write_table(table, path, cluster_by=("week_end_date", "store_num", "upc"))
+        _STORED[*state, priority] = (path, table.schema)
+    return _read(spark, *_STORED[*state, priority])
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

@@ -114,17 +114,24 @@ def recursive(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None
 
     Each series carries its last eight values as an array; a step reads the
     lags from it, predicts all series in one transform and pushes the result.
+    Series with fewer than eight train rows have no lag inputs and drop out,
+    as they do in training.
     """
-    model, table = fit_boosted(weekly, keys, value, estimator)
-    train = mark_holdout(weekly, keys, steps).filter("NOT is_test")
+    model, _ = fit_boosted(weekly, keys, value, estimator)
     x = F.col(value).cast("double")
-    recent = F.sort_array(F.collect_list(F.when(F.col("back") <= steps + 8, F.struct(WEEK, x.alias("x")))))
-    state = train.groupBy(*keys).agg(F.transform(recent, lambda s: s["x"]).alias("past"), F.max(WEEK).alias(WEEK))
+    marked = mark_holdout(weekly, keys, steps).withColumn("actual", x)
+    recent = F.sort_array(F.collect_list(F.when(F.col("back") <= steps + 8, F.struct(WEEK, "actual"))))
+    state = marked.filter("NOT is_test").groupBy(*keys).agg(F.transform(recent, lambda s: s["actual"]).alias("past"))
     state = state.filter(F.size("past") == 8)
     out = None
-    for _ in range(steps):
+    for step in range(1, steps + 1):
+        due = marked.filter(F.col("back") == steps + 1 - step).select(*keys, WEEK, "actual")
+        if keys:
+            ready = state.join(due, list(keys))
+        else:
+            ready = state.withColumns({c: due.select(c).scalar() for c in (WEEK, "actual")})
         past = F.col("past")
-        ready = state.withColumn(WEEK, F.date_add(WEEK, 7)).withColumns(
+        ready = ready.withColumns(
             {
                 **{f"lag_{n}": F.element_at(past, -n) for n in (1, 2, 4, 8)},
                 "rolling_mean_4": sum((F.element_at(past, -n) for n in range(1, 5)), F.lit(0.0)) / 4,
@@ -133,11 +140,10 @@ def recursive(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None
             }
         )
         scored = models.predict(model, ready)
-        state = scored.select(*keys, WEEK, F.concat(F.slice(past, 2, 7), F.array("prediction")).alias("past"))
-        step = scored.select(*keys, WEEK, "prediction")
-        out = step if out is None else out.unionByName(step)
-    actual = weekly.select(*keys, WEEK, x.alias("actual"))
-    return out.join(actual, [*keys, WEEK]).select(*keys, WEEK, "actual", "prediction")
+        state = scored.select(*keys, F.concat(F.slice(past, 2, 7), F.array("prediction")).alias("past"))
+        row = scored.select(*keys, WEEK, "actual", "prediction")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def compare(forecasts: dict[str, tuple[str, DataFrame]]) -> DataFrame:

@@ -10,7 +10,7 @@ from shelfwise.plans.oracle.base import ORACLE
 _AREAS = (
     "kpis", "sales", "product", "store", "pricing", "promotion", "customer", "series", "ctes", "rankings",
     "segments", "dashboard", "advanced", "views", "final_report",
-    "validation", "build", "exploration", "feature_jobs", "ml", "ml_applied",
+    "validation", "build", "exploration", "feature_jobs", "ml", "ml_applied", "io_jobs",
 )
 
 for _area in _AREAS:

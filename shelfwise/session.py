@@ -38,17 +38,21 @@ def local_session(cpus: int = 8, app: str = "shelfwise", memory: str = "12g") ->
     return tune(spark)
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str | None:
     """Folder all executors see, from ``spark.checkpoint.dir``.
 
     Unset on a cluster means there is none, and callers keep their lineage.
-    A one-machine session gets a folder of its own, once.
+    A one-machine session without the setting gets one folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         return None
-    own = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _OWN_DIRS:
+        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _OWN_DIRS[context.applicationId]

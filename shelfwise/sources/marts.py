@@ -55,7 +55,9 @@ def write_star(spark: SparkSession, star: Star, root: str) -> Star:
 
 def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stored table; with its schema known no footer is read to infer it."""
-    return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_star(spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None) -> Star:

@@ -4,9 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tests_common import TABLES, ordered
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-TABLES = "region nation customer supplier part orders lineitem".split()
 KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
@@ -18,12 +18,6 @@ def duck(sf_dir):
     return con
 
 
-def ordered(columns, rows):
-    at = sorted(range(len(columns)), key=lambda i: columns[i])
-    key = lambda r: tuple((v is None, str(type(v)), 0 if v is None else v) for v in r)
-    return sorted((tuple(r[i] for i in at) for r in rows), key=key)
-
-
 # Plan nodes that pair every row with every other or leave the JVM.
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas")
 

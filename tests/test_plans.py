@@ -64,13 +64,32 @@ def test_views_answer_sql(spark, sf_dir):
     assert literal_rows(spark, [("a", 1), ("b", 2)], "k string, v int").count() == 2
 
 
-def test_named_folder_is_used(spark, sf_dir, tmp_path):
+def test_shared_folder_follows_the_session(spark):
     from shelfwise import session
 
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert session.shared_dir(spark) == str(tmp_path)
-        assert marts.cut_lineage(spark.range(5), "ids").count() == 5
-        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["ids"]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = session.shared_dir(spark)
+    assert folder == (named.rstrip("/") if named else session._OWN_DIRS[spark.sparkContext.applicationId])
+    assert marts.cut_lineage(spark.range(5), "ids").count() == 5
+
+
+def test_without_shared_folder_plans_keep_their_lineage(spark, sf_dir, monkeypatch):
+    from shelfwise.plans.context import runner
+
+    want = sorted(map(tuple, runner("m2_category_kpis")(spark, sf_dir).collect()))
+    features = Context(spark, sf_dir).features
+    monkeypatch.setattr(marts, "shared_dir", lambda session: None)
+    assert sorted(map(tuple, runner("m2_category_kpis")(spark, sf_dir).collect())) == want
+    lazy = Context(spark, sf_dir).features
+    assert lazy.columns == features.columns and lazy.count() == features.count()
+
+
+def test_changed_inputs_are_noticed(spark, sf_dir, tmp_path):
+    import shutil
+
+    for name in ("lineitem", "orders", "part", "supplier", "nation", "region"):
+        shutil.copyfile(f"{sf_dir}/{name}.parquet", tmp_path / f"{name}.parquet")
+    before = marts.input_state(spark, str(tmp_path))
+    assert marts.input_state(spark, str(tmp_path)) == before
+    shutil.copyfile(f"{sf_dir}/orders.parquet", tmp_path / "nation.parquet")
+    assert marts.input_state(spark, str(tmp_path)) != before

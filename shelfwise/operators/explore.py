@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
-from shelfwise.functions.expr import count_where, half_up, pct, sorted_text
+from shelfwise.functions.expr import half_up, pct
 from shelfwise.operators.scale import group_quantiles
 from shelfwise.operators.star import Star
 

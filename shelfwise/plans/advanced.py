@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
-from shelfwise.functions.expr import count_where, growth_pct, half_up, mean, mean_where, pct, ratio, sum_where
+from shelfwise.functions.expr import count_where, growth_pct, half_up, mean, mean_where, pct, sum_where
 from shelfwise.operators import pairs
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.trend import growth_over, lag_of, series

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from shelfwise.operators import clean, star as st
 from shelfwise.plans.context import Context, query

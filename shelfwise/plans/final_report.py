@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
-from shelfwise.functions.expr import band, choose, count_where, half_up, mean, pct, ratio
-from shelfwise.operators.rank import rank_desc
+from shelfwise.functions.expr import band, choose, count_where, half_up, mean, ratio
 from shelfwise.operators.report import metric_rows, shown
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.share import share_pct

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, X, growth, m, mean, mean_if, rate, star
+from shelfwise.plans.oracle.base import H, X, growth, m, mean, mean_if, star
 
 _CH = L.CHAMPIONS
 star("aq1_champion_classes", f""", p AS (SELECT upc, description, category, manufacturer,

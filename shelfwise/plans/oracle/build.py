@@ -1,4 +1,4 @@
-from shelfwise.plans.oracle.base import H, X, m, mean, n, per, rate, star
+from shelfwise.plans.oracle.base import H, X, m, star
 from shelfwise.plans.oracle.product import ABC
 from shelfwise.plans.oracle.validation import DELIVERED, LOOKUP
 

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, X, case, growth, m, star
+from shelfwise.plans.oracle.base import H, X, case, growth, star
 from shelfwise.plans.oracle.product import ABC, CUM
 from shelfwise.plans.oracle.promotion import LIFT
 

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, X, bands, case, m, mean, n, per, star
+from shelfwise.plans.oracle.base import H, bands, case, m, mean, per, star
 
 star("cb1_basket_by_category_segment", f"""SELECT category, seg_value_name, {m("avg_basket_size", "avg_basket_value",
   "avg_revenue_per_hh", "avg_units_per_hh", "avg_visits_per_hh", "total_units", "total_hhs", "total_revenue")}

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, REV, REV_RANK, X, growth, m, n, share, star
+from shelfwise.plans.oracle.base import REV, REV_RANK, X, growth, m, share, star
 
 _T = m("total_revenue", "total_units", "total_visits", "total_hhs", "store_count=total_stores",
        "product_count=total_products", "week_count=total_weeks", "avg_basket_value", "avg_basket_size",

@@ -1,4 +1,4 @@
-from shelfwise.plans.oracle.base import H, REV, X, m, mean, n, rate, share, star
+from shelfwise.plans.oracle.base import H, REV, m, mean, rate, share, star
 
 star("x1_category_mix", """SELECT category, count(DISTINCT upc) AS product_count,
   count(DISTINCT manufacturer) AS manufacturer_count, count(DISTINCT sub_category) AS sub_category_count,

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, REV, REV_RANK, X, bands, case, m, mean, per, rate, share, star
+from shelfwise.plans.oracle.base import H, REV, REV_RANK, bands, case, m, mean, per, rate, share, star
 from shelfwise.plans.oracle.product import ABC, CUM
 
 _S = "'Across ' || w || ' weeks, ' || s || ' stores, ' || p || ' products, ' || c || ' categories'"

@@ -1,6 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.operators.features import FEATURES
-from shelfwise.plans.oracle.base import H, bands, m, mean, n, rate, star
+from shelfwise.plans.oracle.base import H, bands, m, mean, rate, star
 from shelfwise.plans.oracle.feature_jobs import FEAT
 from shelfwise.plans.oracle.ml import METRICS, SCORED, SMAPE
 

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, REV, X, bands, growth, m, mean, mean_if, n, rate, share, star
+from shelfwise.plans.oracle.base import H, REV, X, bands, growth, m, mean, mean_if, rate, share, star
 
 star("pr1_price_range", f"""SELECT description, category, manufacturer, product_size, {m("min_price", "max_price",
   "avg_price", "avg_base_price", "price_range", "avg_discount_pct", "max_discount_pct", "total_units",

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, REV, X, growth, m, mean, mean_if, n, rate, share, star
+from shelfwise.plans.oracle.base import H, X, growth, m, mean, mean_if, n, rate, share, star
 
 star("pm1_promo_mix", f"""SELECT category, promo_type, {m("row_count", "total_units", "avg_units=avg_units_per_row",
   "total_revenue", "avg_revenue=avg_revenue_per_row", "avg_price", "avg_discount_pct",

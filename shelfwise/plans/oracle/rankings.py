@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, REV, X, case, m, share, star
+from shelfwise.plans.oracle.base import H, case, m, star
 
 _PM = f""", p AS (SELECT upc, description, category, manufacturer, {m("total_revenue", "total_units", "avg_price",
   "avg_discount_pct", "promo_rate_pct")} FROM ef GROUP BY 1, 2, 3, 4)

@@ -1,4 +1,4 @@
-from shelfwise.plans.oracle.base import H, REV, X, growth, m, n, share, star
+from shelfwise.plans.oracle.base import H, REV, X, growth, m, share, star
 
 _W = "OVER (ORDER BY week_end_date)"
 star("s1_weekly_trend", f""", w AS (SELECT week_end_date, year, quarter, month, week_of_year, is_holiday_season,

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, REV, REV_RANK, X, m, n, per, share, star
+from shelfwise.plans.oracle.base import H, REV, REV_RANK, X, m, per, share, star
 
 ST = "store_num, store_name, state, seg_value_name"
 

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, STAR, bands, m, mean, n, oracle, star
+from shelfwise.plans.oracle.base import H, bands, mean, n, oracle, star
 
 # Unclean delivery: returned lines bring units but no spend, visit or household.
 DELIVERED = """, dl AS (

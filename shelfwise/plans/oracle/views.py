@@ -1,4 +1,4 @@
-from shelfwise.plans.oracle.base import H, REV, REV_RANK, X, m, share, star
+from shelfwise.plans.oracle.base import H, X, m, share, star
 from shelfwise.plans.oracle.product import ABC
 from shelfwise.plans.oracle.series import roll
 

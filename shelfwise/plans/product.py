@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
-from shelfwise.functions.expr import choose, growth_pct, half_up, sum_where
+from shelfwise.functions.expr import choose, growth_pct, half_up
 from shelfwise.operators.rank import rank_asc, rank_desc, tile_desc
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.share import class_of_running_share, share_pct

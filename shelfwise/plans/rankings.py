@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
-from shelfwise.functions.expr import choose, half_up, mean, pct
+from shelfwise.functions.expr import choose, half_up, mean
 from shelfwise.operators.rank import cume_dist, dense_rank_desc, percent_rank, rank_desc, tile_desc
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.share import share_pct

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
-from shelfwise.functions.expr import band, choose, half_up, mean, ratio
+from shelfwise.functions.expr import band, choose, half_up
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.scale import global_ntile
 from shelfwise.operators.share import class_of_running_share

@@ -86,7 +86,7 @@ def store_quartiles(cx: Context):
     return out.withColumn("revenue_quartile", tile_desc(4, "_rev", ["store_num"])).drop("_rev")
 
 
-def area_efficiency(sales: DataFrame, stores: DataFrame) -> DataFrame:
+def area_efficiency(sales: DataFrame) -> DataFrame:
     """Revenue per square foot of each store against its segment."""
     sized = sales.filter("sales_area_size_num > 0")
     per_store = kpi_rollup(
@@ -107,7 +107,7 @@ def area_efficiency(sales: DataFrame, stores: DataFrame) -> DataFrame:
 
 @query("st6_area_efficiency")
 def area_efficiency_query(cx: Context):
-    return area_efficiency(cx.sales("store"), cx.star.store)
+    return area_efficiency(cx.sales("store"))
 
 
 @query("st7_leading_category")

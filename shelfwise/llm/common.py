@@ -27,6 +27,12 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Few rows per Arrow batch: texts are long, and a worker holds a batch at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    return spark
+
+
 class Scratch:
     """Tables of one run, written as Parquet below the shared folder.
 

@@ -10,6 +10,8 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0x5851F42D4C957F2D
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_OTHER = np.arange(256) < 128
+_OTHER[[*range(48, 58), *range(97, 123)]] = False
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -30,15 +32,18 @@ def _powers(n: int) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs of other than ASCII white space), and each text's number of words.
+def word_hashes(texts: list[str | None], folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, one text after the other, and each text's number of words.
+
+    Words are runs of other than ASCII white space; if ``folded``, of lower-case
+    ASCII letters, digits and characters beyond ASCII.
 
     Works on the joined bytes: a word's bytes, weighted by powers of an odd
     number within the word, are a difference of prefix sums modulo 2 ** 64.
     """
-    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    parts = [((t or "").lower() if folded else t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join([*parts, b""]) or b" ", np.uint8)
-    blank = _SPACE[data]
+    blank = (_OTHER if folded else _SPACE)[data]
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:
         edge = np.concatenate(([0], edge))

@@ -99,18 +99,22 @@ class ToxicModel:
         self.per_gram, self.bias = per_gram, bias
 
     def logits(self, texts: list, known: dict | None = None) -> np.ndarray:
-        """Logit per text; an empty text has the bias."""
+        """Logit per text; an empty text has the bias.
+
+        Goes through the texts in small groups, so that few words are held at a time.
+        """
         known = {} if known is None else known
-        bags = [words_of(t) for t in texts]
-        new = list({w for bag in bags for w in bag if w not in known})
-        if len(known) + len(new) > 1_000_000:  # keep the worker's memory bounded
-            known.clear()
-            new = list({w for bag in bags for w in bag})
-        known.update(zip(new, word_values(self.per_gram, new).tolist(), strict=True))
         out = np.full(len(texts), self.bias)
-        for i, bag in enumerate(bags):
-            if bag:
-                out[i] += window_means(np.fromiter(map(known.__getitem__, bag), float, len(bag))).max()
+        for at in range(0, len(texts), 64):
+            bags = [words_of(t) for t in texts[at : at + 64]]
+            new = list({w for bag in bags for w in bag if w not in known})
+            if len(known) + len(new) > 200_000:  # keep the worker's memory bounded
+                known.clear()
+                new = list({w for bag in bags for w in bag})
+            known.update(zip(new, word_values(self.per_gram, new).tolist(), strict=True))
+            for i, bag in enumerate(bags, at):
+                if bag:
+                    out[i] += window_means(np.fromiter(map(known.__getitem__, bag), float, len(bag))).max()
         return out
 
     @staticmethod

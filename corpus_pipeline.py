@@ -1,14 +1,57 @@
-"""Corpus pipeline: stages from raw documents to token shards."""
+"""Corpus pipeline: from raw documents to token shards in training order.
+
+Each stage works on what the one before kept and returns the columns of
+``documents``; the last one returns a row per token sequence.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfwise.llm import decontaminate, mixing, near_dup, token_output, toxicity
+from shelfwise.llm.common import Scratch, read, small_batches
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, trained on the labels of its input, does not reject."""
+    return toxicity.clean(docs, toxicity.fit_on_tables(small_batches(spark), docs, sf_dir))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dup.distinct_texts(docs, Scratch(small_batches(spark), "near"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return decontaminate.clean(docs, read(small_batches(spark), sf_dir, "benchmark"), Scratch(spark, "leaks"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix by source weight takes them."""
+    return mixing.emit(docs, Scratch(spark, "mix"))
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards of the mix; one row per sequence."""
+    return token_output.materialise(docs, Scratch(small_batches(spark), "tokens"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dup", drop_copies),
+    ("decontaminate", drop_leaks),
+    ("mix", mix_sources),
+    ("token_shards", write_tokens),
+]
+#: Fitted weights, signatures and a tokenizer are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """The documents after every stage."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; what a stage returns is written and read again by the next."""
+    scratch = Scratch(spark, "pipeline")
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

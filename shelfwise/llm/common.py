@@ -65,3 +65,13 @@ def hash32(text: Column) -> Column:
 def key_text(column: Column) -> Column:
     """A value as text, one that no value has for null."""
     return F.when(column.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), column.cast("string")))
+
+
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """The rows of ``df`` as one struct ``in`` beside other columns, so that no name can clash with theirs."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("in"), *[c.alias(n) for n, c in more.items()])
+
+
+def unpacked(columns: list[str], **more: Column) -> list[Column]:
+    """The columns of ``in`` and then the given ones; those take the place of input columns of the same name."""
+    return [F.col("in").getField(c).alias(c) for c in columns if c not in more] + [c.alias(n) for n, c in more.items()]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Scratch, read
+from shelfwise.llm.common import Scratch, packed, read, unpacked
 from shelfwise.llm.registry import query
 from shelfwise.llm.shingles import mix64, word_hashes
 
@@ -189,8 +189,8 @@ def text_key(text_col: str = "text"):
 
 def clean(docs: DataFrame, items: DataFrame, scratch: Scratch, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that contain a test item."""
-    keys = scratch.table(contaminated(docs, items, scratch, text_col).select("_key").distinct(), "keys")
-    return docs.withColumn("_key", text_key(text_col)).join(keys, "_key", "left_anti").select(*docs.columns)
+    keys = scratch.table(contaminated(docs, items, scratch, text_col).select(F.col("_key").alias("key")).distinct(), "keys")
+    return packed(docs, key=text_key(text_col)).join(keys, "key", "left_anti").select(*unpacked(docs.columns))
 
 
 @query("op2_decontaminate_spaced_seeds")

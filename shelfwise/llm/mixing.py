@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Scratch, hash32, key_text, read
+from shelfwise.llm.common import Scratch, hash32, key_text, packed, read, unpacked
 from shelfwise.llm.registry import query
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,19 +32,8 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _places(df: DataFrame, id_col: str, source_col: str, size: str) -> DataFrame:
-    """Adds the columns that fix a row's place: _source, _class, _hash."""
-    return df.withColumns(
-        {
-            "_source": key_text(F.col(source_col)),
-            "_class": F.floor(F.sqrt(F.col(size).cast("double"))).cast("long"),
-            "_hash": hash32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))),
-        }
-    )
-
-
 def targets(totals: DataFrame, cap: int) -> DataFrame:
-    """Target words per source from (_source, source_size).
+    """Target words per source from (source, source_size).
 
     Weights 1, 2, 3 repeat over the sources in code point order, null last.
     All words are shared by weight; a target stops at ``cap`` times the size
@@ -52,15 +41,15 @@ def targets(totals: DataFrame, cap: int) -> DataFrame:
     cap over weight, the level of the uncapped ones is the first at which the
     next source stays below its cap.  One row per source goes in.
     """
-    by_name = Window.orderBy("_source")
-    before = Window.orderBy("_limit", "_source").rowsBetween(Window.unboundedPreceding, -1)
+    by_name = Window.orderBy("source")
+    before = Window.orderBy("_limit", "source").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = (
         totals.withColumn("_weight", ((F.row_number().over(by_name) - 1) % 3 + 1).cast("long"))
         .withColumn("_limit", (F.col("source_size") * cap).cast("double") / F.col("_weight"))
         .withColumns(
             {
-                "_place": F.row_number().over(Window.orderBy("_limit", "_source")),
+                "_place": F.row_number().over(Window.orderBy("_limit", "source")),
                 "_left": F.sum("source_size").over(whole)
                 - F.coalesce(F.sum(F.col("source_size") * cap).over(before), F.lit(0)),
                 "_open": F.sum("_weight").over(whole) - F.coalesce(F.sum("_weight").over(before), F.lit(0)),
@@ -70,7 +59,7 @@ def targets(totals: DataFrame, cap: int) -> DataFrame:
     )
     first = F.min(F.when(F.col("_level") <= F.col("_limit"), F.struct("_place", "_level"))).over(whole)
     return ranked.withColumn("_first", first).select(
-        "_source",
+        "source",
         "source_size",
         F.when(F.col("_place") < F.col("_first._place"), (F.col("source_size") * cap).cast("double"))
         .otherwise(F.col("_first._level") * F.col("_weight"))
@@ -81,57 +70,72 @@ def targets(totals: DataFrame, cap: int) -> DataFrame:
 def mix(
     df: DataFrame,
     scratch: Scratch,
+    size: Column | None = None,
     id_col: str = "doc_id",
     source_col: str = "source",
-    size: str = "size",
+    text_col: str = "text",
     cap: int = 3,
     seed: str = "mix",
     bin_rows: int = BIN_ROWS,
 ) -> DataFrame:
-    """All rows of ``df`` with source_size, target and copies (0 to ``cap``).
-
-    ``df`` is read twice (sizes per bin, then rows), so a costly ``size`` should
-    be in a written table.  Null sources form one source of their own, null ids
-    one hash value; equal rows are interchangeable, so their copies are shared
-    out among them.  Size 0 gets copies like any other row.  No rows in, no
-    rows out.  Columns may have any name without a leading underscore but
-    source_size, target and copies.
+    """All rows of ``df`` with size, source_size, target and copies (0 to ``cap``).
+
+    ``size`` is a whole number per row, by default the words of the text.
+    ``df`` is read twice (sizes per bin, then rows).  Null sources form one
+    source of their own, null ids one hash value; equal rows are
+    interchangeable, so their copies are shared out among them.  Size 0 gets
+    copies like any other row.  No rows in, no rows out.  The four new columns
+    take the place of input columns of the same names.
     """
-    placed = _places(df, id_col, source_col, size)
-    per_class = placed.groupBy("_source", "_class").agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_words"))
+    size = word_count(F.col(text_col)) if size is None else size.cast("long")
+    placed = packed(
+        df,
+        id=F.col(id_col),
+        source=key_text(F.col(source_col)),
+        size=size,
+        hash=hash32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))),
+    ).withColumn("class", F.floor(F.sqrt(F.col("size").cast("double"))).cast("long"))
+    per_class = placed.groupBy("source", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"))
     per_class = scratch.table(per_class, "classes")
-    goals = targets(per_class.groupBy("_source").agg(F.sum("_words").alias("source_size")), cap)
+    goals = targets(per_class.groupBy("source").agg(F.sum("words").alias("source_size")), cap)
     # Ranges of the hash per class, as many as its rows need.
-    bins = per_class.select("_source", "_class", F.ceil(F.col("_n") / bin_rows).alias("_bins"))
-    binned = placed.join(bins, ["_source", "_class"]).withColumn(
-        "_bin", F.floor(F.col("_hash") * F.col("_bins") / F.lit(4294967296)).cast("long")
+    bins = per_class.select("source", "class", F.ceil(F.col("n") / bin_rows).alias("bins"))
+    binned = placed.join(bins, ["source", "class"]).withColumn(
+        "bin", F.floor(F.col("hash") * F.col("bins") / F.lit(4294967296)).cast("long")
     )
-    order = Window.partitionBy("_source").orderBy("_class", "_bin").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("source").orderBy("class", "bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        binned.groupBy("_source", "_class", "_bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-        .join(goals, "_source")
-        .drop("_n")
+        binned.groupBy("source", "class", "bin")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("start", F.coalesce(F.sum("n").over(order), F.lit(0)))
+        .join(goals, "source")
+        .drop("n")
     )
     starts = scratch.table(starts, "starts")
-    inside = Window.partitionBy("_source", "_class", "_bin").orderBy("_hash", id_col, size)
+    inside = Window.partitionBy("source", "class", "bin").orderBy("hash", "id", "size")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.col("_source"))), 1, 4), 16, 10).cast("double") / 65536
-    reach = lambda rank: F.floor(rank * F.col("_rate") + F.col("_offset"))
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.col("source"))), 1, 4), 16, 10).cast("double") / 65536
+    reach = lambda rank: F.floor(rank * F.col("rate") + F.col("offset"))
+    copies = F.least(reach(F.col("rank")) - reach(F.col("rank") - 1), F.lit(cap).cast("long"))
     return (
-        binned.withColumn("_rank", F.row_number().over(inside))
-        .join(starts, ["_source", "_class", "_bin"])
-        .withColumns({"_rank": F.col("_rank") + F.col("_start"), "_rate": rate, "_offset": offset})
-        .withColumn("copies", F.least(reach(F.col("_rank")) - reach(F.col("_rank") - 1), F.lit(cap).cast("long")))
-        .select(*df.columns, "source_size", "target", "copies")
+        binned.withColumn("rank", F.row_number().over(inside))
+        .join(starts, ["source", "class", "bin"])
+        .withColumns({"rank": F.col("rank") + F.col("start"), "rate": rate, "offset": offset})
+        .select(
+            *unpacked(
+                df.columns, size=F.col("size"), source_size=F.col("source_size"), target=F.col("target"), copies=copies
+            )
+        )
     )
 
 
-def emit(mixed: DataFrame) -> DataFrame:
-    """Each row as often as ``copies`` says."""
-    once_each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return mixed.withColumn("_copy", once_each).drop("_copy", "source_size", "target", "copies")
+def emit(df: DataFrame, scratch: Scratch, **options) -> DataFrame:
+    """The rows of ``df``, each as often as ``mix`` takes it."""
+    rows = packed(df, id=F.col(options.pop("id_col", "doc_id")), source=F.col(options.pop("source_col", "source")),
+                  text=F.col(options.pop("text_col", "text")))
+    mixed = mix(rows, scratch, id_col="id", **options).where("copies > 0")
+    each = mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    return each.select(*unpacked(df.columns))
 
 
 SQL = r"""
@@ -168,8 +172,8 @@ FROM (SELECT *, CAST(LEAST(floor(k * r + CAST(u AS DOUBLE)) - floor((k - 1) * r
 def op7_mixing_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix by source weight takes from each document."""
     scratch = Scratch(spark, "mix")
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    mixed = mix(scratch.table(docs, "sized"), scratch)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    mixed = mix(scratch.table(docs, "sized"), scratch, F.col("words"))
     return mixed.select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.bag_minhash import signatures
-from shelfwise.llm.common import Scratch, read
+from shelfwise.llm.common import Scratch, packed, read, unpacked
 from shelfwise.llm.components import components
 from shelfwise.llm.registry import query
 from shelfwise.llm.shingles import bags, mix64
@@ -169,19 +169,19 @@ def classes(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     Rows with equal texts, or with a chain of similarities of 0.8 and more
     between them, are one class.  Texts without words, and nulls, are similar
     to nothing: each row is a class of its own with its own id.  The kept row
-    has the smallest id (null last); of equal rows, one is kept.  Columns may
-    have any name but class_id, kept and names with a leading underscore.
+    has the smallest id (null last); of equal rows, one is kept.  The two new
+    columns take the place of input columns of the same names.
     """
-    signed = df.withColumns(
-        {"_row": F.monotonically_increasing_id(), "_key": F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))}
-    ).withColumn("_sign", _sign(F.coalesce(F.col(text_col), F.lit(""))))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    signed = packed(df, row=F.monotonically_increasing_id(), key=F.unhex(F.md5(text)), signed=_sign(text))
     rows = scratch.table(signed, "rows")  # numbers each row once and for all
-    worded = rows.where("_sign.weight > 0")
-    best = F.struct(F.col(id_col).isNull().alias("_no_id"), F.col(id_col).alias("_id"), F.col("_row").alias("_first"))
+    row_id, row_text = F.col("in").getField(id_col), F.col("in").getField(text_col)
+    worded = rows.where("signed.weight > 0")
+    best = F.struct(row_id.isNull().alias("no_id"), row_id.alias("id"), F.col("row").alias("first"))
     nodes = scratch.table(
-        worded.groupBy("_key").agg(
-            F.min("_row").alias("node"), F.min(best).alias("_best"), F.first("_sign.sign").alias("sign"),
-            F.first("_sign.bands").alias("bands"),
+        worded.groupBy("key").agg(
+            F.min("row").alias("node"), F.min(best).alias("best"), F.first("signed.sign").alias("sign"),
+            F.first("signed.bands").alias("bands"),
         ),
         "nodes",
     )
@@ -197,25 +197,32 @@ def classes(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     )
     groups = components(agreed, scratch, "group").select(F.col("component").alias("group"), "node")
     groups = scratch.table(groups, "groups")
-    texts = worded.join(groups.select(F.col("node").alias("_row")), "_row", "left_semi").select(
-        F.col("_row").alias("node"), F.col(text_col).alias("text")
+    texts = worded.join(groups.select(F.col("node").alias("row")), "row", "left_semi").select(
+        F.col("row").alias("node"), row_text.cast("string").alias("text")
     )
     dealt = tiles(groups).join(texts, "node")
     links = dealt.groupBy("tile").applyInPandas(lambda tile: tile_links(tile), "a long, b long")
     joined = components(links, scratch, "class")
-    member = nodes.join(joined, "node", "left").select(
-        "_key", "_best", F.coalesce("component", "node").alias("_class")
-    )
-    heads = member.groupBy("_class").agg(F.min("_best").alias("_head"))
-    member = member.join(heads, "_class").select("_key", "_head")
-    out = rows.join(member, (rows["_key"] == member["_key"]) & (rows["_sign.weight"] > 0), "left")
+    member = nodes.join(joined, "node", "left").select("key", "best", F.coalesce("component", "node").alias("class"))
+    heads = member.groupBy("class").agg(F.min("best").alias("head"))
+    member = member.join(heads, "class").select(F.col("key").alias("own"), "head")
+    out = rows.join(member, (F.col("key") == F.col("own")) & (F.col("signed.weight") > 0), "left")
+    alone = F.col("head").isNull()
     return out.select(
-        *[rows[f"`{c}`"] for c in df.columns],
-        F.when(F.col("_head").isNull(), rows[f"`{id_col}`"]).otherwise(F.col("_head._id")).alias("class_id"),
-        (F.col("_head").isNull() | (F.col("_head._first") == F.col("_row"))).alias("kept"),
+        *unpacked(
+            df.columns,
+            class_id=F.when(alone, row_id).otherwise(F.col("head.id")),
+            kept=alone | (F.col("head.first") == F.col("row")),
+        )
     )
 
 
+def distinct_texts(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with one row of each class."""
+    rows = packed(df, id=F.col(id_col), text=F.col(text_col))
+    return classes(rows, scratch, "id").where("kept").select(*unpacked(df.columns))
+
+
 @query("op5_near_dup_bag_minhash")
 def op5_near_dup_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import hash32, read
+from shelfwise.llm.common import hash32, packed, read, unpacked
 from shelfwise.llm.registry import query
 
 ROWS = 1 << 18
@@ -243,6 +243,12 @@ def _logit(model: ToxicModel, spark: SparkSession):
     return logit
 
 
+def clean(df: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
+    """``df`` without the rows with a score of 0.5 or more."""
+    scored = score(packed(df, text=F.col(text_col).cast("string")), model)
+    return scored.where("score < 0.5").select(*unpacked(df.columns))
+
+
 def held_out(id_col: str = "doc_id"):
     """True for the fifth of ids that training must not see."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -97,8 +97,10 @@ class Field:
 
     @staticmethod
     def fit(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS, ridge: float = RIDGE) -> Field:
-        """Most likely weights given the labels, by Adam on all pages at once; pages without blocks don't count."""
+        """Most likely weights given the labels, by Adam on all pages at once; without any block, zeros."""
         pages = [p for p in pages if p[0]]
+        if not pages:
+            return Field({}, np.zeros((2, 2, 2)), 0.0)
         names: dict[str, int] = {}
         longest = max((len(p[0]) for p in pages), default=0)
         n = len(pages)

@@ -215,7 +215,7 @@ def write_shards(found: Sequences, path: str) -> DataFrame:
         [(found.n, found.length, found.shard, found.stride, END)],
         "sequences long, length int, per_shard int, stride int, end int",
     )
-    layout.write.json(f"{path}/layout")
+    layout.coalesce(1).write.json(f"{path}/layout")
     return layout
 
 

@@ -30,7 +30,9 @@ WIDTH = 8
 WINDOW = 4
 #: Labelled texts of each class the model is fit on, about, at most.
 TRAIN_EACH = 1200
-EPOCHS, BATCH, RATE = 6, 32, 0.5
+BATCH, RATE = 32, 0.5
+#: Texts visited in training, whole passes over the sample; a small sample is passed more often.
+VISITS = 15_000
 #: Share of training steps in which the words of the window are misspelt.
 MISSPELT = 0.5
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -55,7 +57,8 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     value = np.zeros(len(points), np.uint64)
     for n in range(1, 6):
         shifted = np.zeros_like(points)
-        shifted[: len(points) - n + 1] = points[n - 1 :]
+        rest = points[n - 1 :]
+        shifted[: len(rest)] = rest
         value = (value + shifted + np.uint64(1)) * mix
         value ^= value >> np.uint64(29)
         if n >= 3:
@@ -118,10 +121,11 @@ class ToxicModel:
         return out
 
     @staticmethod
-    def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> ToxicModel:
+    def fit(texts: list[str], labels: np.ndarray, share: float = 0.5, seed: int = 5) -> ToxicModel:
         """Joint stochastic gradient descent on embeddings and softmax.
 
-        Classes weigh equally.  The gradient of a text flows through its most
+        Classes weigh equally in training; at the end the bias goes half the way
+        to ``share``, the share of toxic texts where the sample comes from.  The gradient of a text flows through its most
         toxic window, in half of the steps with each word of it misspelt.  With
         one class or no texts the score is constant.
         """
@@ -142,7 +146,7 @@ class ToxicModel:
         soft_sq = np.full((WIDTH, 2), 1e-3)
         bias, bias_sq = np.zeros(2), np.full(2, 1e-3)
         weight = np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
-        for _ in range(EPOCHS):
+        for _ in range(-(-VISITS // len(docs))):
             turn = rng.permutation(len(docs))
             for at in range(0, len(turn), BATCH):
                 batch = [i for i in turn[at : at + BATCH] if len(docs[i])]
@@ -185,7 +189,9 @@ class ToxicModel:
                 soft -= 0.3 * RATE * grad_soft / np.sqrt(soft_sq)
                 bias_sq += grad_bias**2
                 bias -= 0.3 * RATE * grad_bias / np.sqrt(bias_sq)
-        return ToxicModel(embed @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        bias = bias[1] - bias[0] + 0.5 * np.log(share / (1 - share))
+        return ToxicModel(embed @ (soft[:, 1] - soft[:, 0]), float(bias))
 
 
 def misspell(word: str, rng: np.random.Generator) -> str:
@@ -221,7 +227,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     for label, n in counts.items():
         keep = keep | ((F.col("_label") == label) & (F.col("_hash") < F.lit(int(min(1.0, each / n) * 4294967296))))
     sample = sorted(map(tuple, rows.where(keep).collect()), key=lambda r: (r[0], r[2], r[1] or ""))
-    return ToxicModel.fit([r[1] for r in sample], np.array([r[2] for r in sample]))
+    share = counts.get(1, 0) / max(sum(counts.values()), 1)
+    return ToxicModel.fit([r[1] for r in sample], np.array([r[2] for r in sample]), share)
 
 
 def score(df: DataFrame, model: ToxicModel, text_col: str = "text", out: str = "score") -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
 
-# Relative nudge that lets a binary double such as 1.00499999999999989 round
-# like the decimal 1.005 it stands for.
-_HALF_UP_NUDGE = 1.00000000000001
+# Decimal places kept beyond those asked for, so that a binary double such as
+# 1.00499999999999989 rounds like the decimal 1.005 it stands for.
+_HEADROOM = 6
 
 
 def col(c: str | Column) -> Column:
@@ -23,8 +23,13 @@ def dbl(c: str | Column) -> Column:
 
 
 def half_up(c: str | Column, digits: int) -> Column:
-    """Round a double half away from zero, treating near-ties as ties."""
-    return F.round(dbl(c) * F.lit(_HALF_UP_NUDGE), digits)
+    """Round a double half away from zero, as the decimal it stands for.
+
+    Numbers beyond the decimal's range, and NaN, round as doubles.
+    """
+    x = dbl(c)
+    exact = F.round(x.try_cast(f"decimal(38,{digits + _HEADROOM})"), digits).cast("double")
+    return F.coalesce(exact, F.round(x, digits))
 
 
 def ratio(num: str | Column, den: str | Column, scale: float = 1.0) -> Column:

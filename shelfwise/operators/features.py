@@ -24,6 +24,8 @@ FEATURES = (
     "sales_last_8_week", "rolling_mean_4w", "rolling_std_4w", "moving_avg_8w", "has_history",
 )
 LAGS = (1, 2, 4, 8)
+#: Text that a missing value is coded as.
+MISSING = "nan"
 
 
 def master(star: Star) -> DataFrame:
@@ -120,10 +122,11 @@ def encode(df: DataFrame, columns: Sequence[str] = ENCODED) -> DataFrame:
     """Whole-number codes in the order of the values as text.
 
     Codes come from the distinct values of a column (a dimension), joined
-    back without collecting labels on the driver.
+    back without collecting labels on the driver.  A missing value is a value
+    of its own, the text ``nan``, so that no row is lost.
     """
     for c in columns:
-        text = F.col(c).cast("string")
+        text = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
         codes = df.select(text.alias("_v")).distinct().select(
             "_v", (F.row_number().over(Window.orderBy("_v")) - 1).alias(f"{c}_enc")
         )

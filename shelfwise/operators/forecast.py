@@ -71,12 +71,12 @@ def fourier_regression(weekly: DataFrame, keys: Sequence[str], value: str) -> Da
     )
 
 
-def lag_table(weekly: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def lag_table(weekly: DataFrame, keys: Sequence[str], value: str, holdout: int = HOLDOUT) -> DataFrame:
     """One-step inputs: lags of actuals, mean of the four rows before, season."""
     w = Window.partitionBy(*keys).orderBy(WEEK)
     x = F.col(value).cast("double")
     before = w.rowsBetween(-4, -1)
-    out = mark_holdout(weekly, keys).withColumns(
+    out = mark_holdout(weekly, keys, holdout).withColumns(
         {
             **{f"lag_{n}": F.lag(x, n).over(w) for n in (1, 2, 4, 8)},
             "rolling_mean_4": F.when(F.count(x).over(before) == 4, F.avg(x).over(before)),
@@ -94,9 +94,11 @@ def boosted(rounds: int = 300, depth: int = 5, rate: float = 0.05) -> GBTRegress
     )
 
 
-def fit_boosted(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None) -> tuple[Model, DataFrame]:
+def fit_boosted(
+    weekly: DataFrame, keys: Sequence[str], value: str, estimator=None, holdout: int = HOLDOUT
+) -> tuple[Model, DataFrame]:
     """One model over all series, trained before the holdout."""
-    table = lag_table(weekly, keys, value)
+    table = lag_table(weekly, keys, value, holdout)
     model = models.fit(table.filter("NOT is_test"), estimator or boosted(), LAG_FEATURES)
     return model, table
 
@@ -114,45 +116,48 @@ def recursive(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None
 
     Each series carries its last eight values as an array; a step reads the
     lags from it, predicts all series in one transform and pushes the result.
-    Series with fewer than eight train rows have no lag inputs and drop out,
-    as they do in training.
+    Every series is forecast: one with fewer than eight train weeks has its
+    first one repeated before them, one without any starts from the mean of all
+    train weeks.
     """
-    model, _ = fit_boosted(weekly, keys, value, estimator)
-    x = F.col(value).cast("double")
-    marked = mark_holdout(weekly, keys, steps).withColumn("actual", x)
-    recent = F.sort_array(F.collect_list(F.when(F.col("back") <= steps + 8, F.struct(WEEK, "actual"))))
-    state = marked.filter("NOT is_test").groupBy(*keys).agg(F.transform(recent, lambda s: s["actual"]).alias("past"))
-    state = state.filter(F.size("past") == 8)
-    out = None
-    for step in range(1, steps + 1):
-        due = marked.filter(F.col("back") == steps + 1 - step).select(*keys, WEEK, "actual")
-        if keys:
-            ready = state.join(due, list(keys))
-        else:
-            ready = state.withColumns({c: due.select(c).scalar() for c in (WEEK, "actual")})
-        past = F.col("past")
-        ready = ready.withColumns(
+    model, _ = fit_boosted(weekly, keys, value, estimator, steps)
+    marked = mark_holdout(weekly, keys, steps).withColumn("actual", F.col(value).cast("double"))
+    known = F.when(~F.col("is_test") & (F.col("back") <= steps + 8), F.struct(WEEK, "actual"))
+    held = F.when(F.col("is_test"), F.struct("back", F.struct(WEEK, "actual").alias("row")))
+    state = marked.groupBy(*keys).agg(
+        F.transform(F.sort_array(F.collect_list(known)), lambda s: s["actual"]).alias("past"),
+        F.map_from_entries(F.collect_list(held)).alias("held"),
+    )
+    level = marked.filter("NOT is_test").agg(F.avg("actual")).scalar()
+    first = F.coalesce(F.get("past", F.lit(0)), level, F.lit(0.0))
+    state = state.withColumn("past", F.concat(F.array_repeat(first, 8 - F.size("past")), F.col("past")))
+    past, out = F.col("past"), None
+    for back in range(steps, 0, -1):
+        # A series shorter than the holdout has no row yet: it waits with its past as it is.
+        ready = state.withColumn("_row", F.try_element_at("held", F.lit(back))).withColumns(
             {
                 **{f"lag_{n}": F.element_at(past, -n) for n in (1, 2, 4, 8)},
                 "rolling_mean_4": sum((F.element_at(past, -n) for n in range(1, 5)), F.lit(0.0)) / 4,
-                "week_num": F.weekofyear(WEEK).cast("double"),
-                "month": F.month(WEEK).cast("double"),
+                "week_num": F.coalesce(F.weekofyear(F.col("_row")[WEEK]), F.lit(1)).cast("double"),
+                "month": F.coalesce(F.month(F.col("_row")[WEEK]), F.lit(1)).cast("double"),
             }
         )
         scored = models.predict(model, ready)
-        state = scored.select(*keys, F.concat(F.slice(past, 2, 7), F.array("prediction")).alias("past"))
-        row = scored.select(*keys, WEEK, "actual", "prediction")
+        due = F.col("_row").isNotNull()
+        pushed = F.when(due, F.concat(F.slice(past, 2, 7), F.array("prediction"))).otherwise(past)
+        state = scored.select(*keys, pushed.alias("past"), "held")
+        row = scored.filter(due).select(*keys, F.col("_row")[WEEK].alias(WEEK), F.col("_row")["actual"].alias("actual"), "prediction")
         out = row if out is None else out.unionByName(row)
     return out
 
 
 def compare(forecasts: dict[str, tuple[str, DataFrame]]) -> DataFrame:
-    """Metrics per forecast with its horizon, best MAE first."""
+    """Metrics per forecast with its horizon, best MAE first; the best is told within a horizon."""
     out = None
     for name, (horizon, df) in forecasts.items():
         row = models.regression_metrics(df, (), "actual").select(
-            F.lit(name).alias("model"), F.lit(horizon).alias("horizon"), "mae", "rmse", "smape_pct", "r2"
+            F.lit(name).alias("model"), F.lit(horizon).alias("horizon"), "row_count", "mae", "rmse", "smape_pct", "r2"
         )
         out = row if out is None else out.unionByName(row)
-    best = F.col("mae") == F.min("mae").over(Window.partitionBy())
+    best = F.col("mae") == F.min("mae").over(Window.partitionBy("horizon"))
     return out.withColumn("is_best", best).orderBy("mae", "model")

@@ -16,24 +16,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKETS = 1024
+from shelfwise.functions.expr import half_up
+
+#: Buckets for each doubling of a value.
+_PER_DOUBLING = 64
+
+
+def value_bucket(x: Column) -> Column:
+    """Bucket of a double, in the order of the values; equal steps of its logarithm on either side of 0.
+
+    The cut points do not depend on the smallest and largest value, so an
+    outlier or a heavy tail moves no other value into its neighbour's bucket.
+    """
+    far = F.floor(F.log2(F.abs(x)) * _PER_DOUBLING).cast("int") + 100_000
+    return F.when(x == 0, F.lit(0)).otherwise(F.when(x > 0, far).otherwise(-far))
 
 
 def _prefix_sums(counts: DataFrame, value: str, amount: str, name: str, descending: bool) -> DataFrame:
     """Sum of ``amount`` over all earlier values, in two levels.
 
-    Values fall into up to 1024 equal-width buckets; bucket totals are prefix
-    summed in one small window, values inside their own bucket.
+    Bucket totals are prefix summed in one small window (a few thousand
+    buckets at most), values inside their own bucket.
     """
     x = F.col(value).cast("double")
-    signed = -x if descending else x
-    lo = counts.agg(F.min(signed)).scalar()
-    hi = counts.agg(F.max(signed)).scalar()
-    width = F.nullif((hi - lo) / F.lit(float(_BUCKETS)), F.lit(0.0))
-    bucket = F.coalesce(F.floor((signed - lo) / width), F.lit(0)).cast("int")
+    bucket = value_bucket(-x if descending else x)
     order = F.desc(value) if descending else F.asc(value)
     before = (Window.unboundedPreceding, -1)
     zero = F.lit(0)
@@ -123,15 +132,7 @@ def group_quantiles(
         .groupBy(*keys, "_x")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    spans = counts.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_n").alias("_total"))
-    width = F.nullif((F.col("_hi") - F.col("_lo")) / F.lit(float(_BUCKETS)), F.lit(0.0))
-    if keys:
-        spanned = counts.join(spans, keys)
-    else:
-        spanned = counts.withColumns({c: spans.select(c).scalar() for c in ("_lo", "_hi", "_total")})
-    bucketed = spanned.withColumn(
-        "_bucket", F.coalesce(F.floor((x - F.col("_lo")) / width), F.lit(0)).cast("int")
-    )
+    bucketed = counts.withColumn("_bucket", value_bucket(x))
     before = (Window.unboundedPreceding, -1)
     zero = F.lit(0)
     base = bucketed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_t")).select(
@@ -140,6 +141,7 @@ def group_quantiles(
         F.coalesce(F.sum("_t").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(*before)), zero).alias(
             "_base"
         ),
+        F.sum("_t").over(Window.partitionBy(*keys)).alias("_total"),
     )
     inside = F.coalesce(
         F.sum("_n").over(Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(*before)), zero
@@ -160,5 +162,5 @@ def group_quantiles(
             F.max(spot - F.floor(spot)).alias(f"_{name}_f"),
         ]
         a, b, f = F.col(f"_{name}_a"), F.col(f"_{name}_b"), F.col(f"_{name}_f")
-        result.append(F.round((a + (b - a) * f) * F.lit(1.00000000000001), digits).alias(name))
+        result.append(half_up(a + (b - a) * f, digits).alias(name))
     return placed.groupBy(*keys).agg(*picks).select(*keys, *result)

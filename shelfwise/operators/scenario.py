@@ -196,7 +196,7 @@ def recommend(
     grid = recommendation_grid(latest, months, priority=priority)
     scored = predict(regressor, grid).drop("features").withColumnRenamed("prediction", "predicted_units")
     rated = classifier.transform(scored).withColumn("high_sales_probability", vector_to_array("probability")[1])
-    flagged = risk_flags(rated, "predicted_units", "sales_last_4_week", risky_category=risky_category)
+    flagged = risk_flags(rated, "predicted_units", "rolling_mean_4w", risky_category=risky_category)
     out = flagged.join(base, list(by)).withColumn("_rev", F.col("predicted_units") * F.col("price"))
     order = [F.asc("high_uncertainty"), F.desc("_rev"), F.asc("price"), F.asc("scenario")]
     return out.select(

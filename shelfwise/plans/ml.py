@@ -15,7 +15,6 @@ from shelfwise.operators.features import FEATURES, TARGET, WEEK
 from shelfwise.plans.context import Context, query
 
 ROUNDS, TREES = 8, 10
-LABEL_FRACTION = 5 / 6
 
 
 def boosted(rounds: int = ROUNDS) -> GBTRegressor:
@@ -33,8 +32,8 @@ def baseline(cx: Context):
 
 
 def labelled(cx: Context):
-    """Rows with the high-sales label; medians come from the earlier weeks only."""
-    train, _ = ml.time_split(cx.features, LABEL_FRACTION)
+    """Rows with the high-sales label; medians come from the weeks the models are trained on."""
+    train, _ = split(cx)
     return ml.high_sales(cx.features, train)
 
 
@@ -76,6 +75,11 @@ def high_sales_label(cx: Context):
     )
 
 
+@query("ml5_labelled_rows")
+def labelled_rows(cx: Context):
+    return labelled(cx).select(WEEK, "store_num", "upc", "category", TARGET, F.col("high_sales").cast("bigint").alias("high_sales"))
+
+
 @query("ml6_classification_comparison")
 def classification_comparison(cx: Context):
     train, test = ml.time_split(labelled(cx))

@@ -53,6 +53,7 @@ def forecast_comparison(cx: Context):
             "Moving Average": ("12 weeks", forecast.moving_average(*args)),
             "Seasonal Naive": ("12 weeks", forecast.seasonal_naive(*args)),
             "Fourier Regression": ("12 weeks", forecast.fourier_regression(*args)),
+            "Boosted (recursive)": ("12 weeks", forecast.recursive(*args, small)),
             "Boosted (one step)": ("1 week", forecast.one_step(*args, small)),
         }
     )
@@ -204,6 +205,15 @@ def risk_flags(cx: Context):
     )
 
 
+@query("er4_flagged_rows")
+def flagged_rows(cx: Context):
+    flagged = errors.risk_flags(baseline_errors(cx), risky_category=RISKY)
+    marks = [F.col(c).cast("boolean").alias(c) for c in ("flag_high_discount", "flag_risky_category", "flag_demand_spike")]
+    return flagged.select(
+        "week_end_date", "store_num", "upc", *marks, F.col("risk_score").cast("bigint").alias("risk_score"), "risk_level"
+    )
+
+
 # ---------------------------------------------------------------- scenarios
 
 GROUP = ["category", "seg_value_name"]

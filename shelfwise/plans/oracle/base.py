@@ -7,7 +7,7 @@ ORACLE: dict[str, str] = {}
 # Raw panel and star, straight from the order-line tables.
 STAR = """WITH panel AS (
   SELECT CAST(date_trunc('week', l_shipdate) AS DATE) + 5 AS week_end_date, s_nationkey AS store_num,
-         ('0x' || substr(md5(p_type || '|' || p_brand), 1, 12))::BIGINT AS upc,
+         ('0x' || substr(md5(coalesce('1' || p_type, '0') || '|' || coalesce('1' || p_brand, '0')), 1, 15))::BIGINT AS upc,
          sum(round(l_quantity)::BIGINT)::BIGINT AS units,
          count(DISTINCT l_orderkey) AS visits, count(DISTINCT o_custkey) AS hhs,
          sum(round(l_extendedprice * 100)::BIGINT * (100 - round(l_discount * 100)::BIGINT))::BIGINT AS net,
@@ -24,7 +24,7 @@ trans AS (
          feature, display, tpr_only
   FROM panel),
 product AS (
-  SELECT ('0x' || substr(md5(p_type || '|' || p_brand), 1, 12))::BIGINT AS upc, p_type AS category,
+  SELECT ('0x' || substr(md5(coalesce('1' || p_type, '0') || '|' || coalesce('1' || p_brand, '0')), 1, 15))::BIGINT AS upc, p_type AS category,
          p_type || ' ' || p_brand AS description, upper(p_brand) AS manufacturer,
          upper(p_type || ' ' || substr(p_brand, 1, 7)) AS sub_category, 'SIZE ' || max(p_size) AS product_size,
          'OTHR' AS category_code
@@ -57,12 +57,12 @@ calendar AS (
 fact AS (
   SELECT strftime(week_end_date, '%Y%m%d')::INT AS date_key, store_num, upc, units, visits, hhs, spend, price,
          base_price, feature, display, tpr_only,
-         round((base_price - price)::DOUBLE * 100 / base_price::DOUBLE * 1.00000000000001, 4)::DECIMAL(12,4)
+         round(((base_price - price)::DOUBLE * 100 / base_price::DOUBLE)::DECIMAL(38,10), 4)::DECIMAL(12,4)
            AS discount_pct,
          (base_price - price)::DECIMAL(18,4) AS price_gap,
-         round(spend::DOUBLE / visits * 1.00000000000001, 4)::DECIMAL(18,4) AS revenue_per_visit,
-         round(units::DOUBLE / hhs * 1.00000000000001, 4)::DECIMAL(18,4) AS units_per_hh,
-         round(spend::DOUBLE / hhs * 1.00000000000001, 4)::DECIMAL(18,4) AS spend_per_hh,
+         round((spend::DOUBLE / visits)::DECIMAL(38,10), 4)::DECIMAL(18,4) AS revenue_per_visit,
+         round((units::DOUBLE / hhs)::DECIMAL(38,10), 4)::DECIMAL(18,4) AS units_per_hh,
+         round((spend::DOUBLE / hhs)::DECIMAL(38,10), 4)::DECIMAL(18,4) AS spend_per_hh,
          CASE feature * 100 + display * 10 + tpr_only
            WHEN 111 THEN 'COMBINED' WHEN 110 THEN 'FEATURE_DISPLAY' WHEN 101 THEN 'FEATURE_TPR'
            WHEN 11 THEN 'DISPLAY_TPR' WHEN 100 THEN 'FEATURE_ONLY' WHEN 10 THEN 'DISPLAY_ONLY'
@@ -76,7 +76,7 @@ ef AS (
 
 def H(e: str, d: int) -> str:
     """Half-up rounding of a double expression."""
-    return f"round(({e})::DOUBLE * 1.00000000000001, {d})"
+    return f"round(({e})::DOUBLE::DECIMAL(38,{d + 6}), {d})::DOUBLE"
 
 
 def X(e: str, d: int) -> str:

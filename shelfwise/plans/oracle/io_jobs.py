@@ -9,3 +9,13 @@ star("io6_refreshed_mart", f"""SELECT week_end_date, year, quarter, {m("total_re
   "avg_basket_value", "avg_discount_pct:4", "promo_rate_pct")} FROM ef GROUP BY 1, 2, 3""")
 star("io8_one_year", f"""SELECT category, {m("total_revenue", "total_units", "row_count")} FROM ef WHERE year = 1998
   GROUP BY 1""")
+
+star("io1_csv_round_trip", """SELECT store_num::BIGINT AS store_num, store_name, city, state, msa_code::BIGINT AS msa_code,
+  seg_value_name, sales_area_size_num::BIGINT AS sales_area_size_num FROM store""")
+star("io2_declared_schema", """SELECT year(week_end_date) AS year, count(*) AS row_count, sum(units)::BIGINT AS units,
+  sum(spend)::DOUBLE AS spend FROM trans GROUP BY 1""")
+star("io3_clustered_layer", """SELECT (date_key // 10000)::BIGINT AS year, (date_key // 100 % 100)::BIGINT AS month, count(*) AS row_count,
+  sum(units)::BIGINT AS units FROM fact GROUP BY 1, 2""")
+star("io7_metric_report", """SELECT unnest(['units', 'visits', 'rows']) AS metric, unnest([u, v, n]) AS value,
+  unnest([u::VARCHAR, v::VARCHAR, n::VARCHAR]) AS shown
+  FROM (SELECT sum(units)::BIGINT AS u, sum(visits)::BIGINT AS v, count(*)::BIGINT AS n FROM fact)""")

@@ -4,7 +4,7 @@ from shelfwise.plans.oracle.base import H, bands, mean, n, oracle, star
 # Unclean delivery: returned lines bring units but no spend, visit or household.
 DELIVERED = """, dl AS (
   SELECT CAST(date_trunc('week', l_shipdate) AS DATE) + 5 AS week_end_date, s_nationkey AS store_num,
-         ('0x' || substr(md5(p_type || '|' || p_brand), 1, 12))::BIGINT AS upc, l_orderkey, o_custkey,
+         ('0x' || substr(md5(coalesce('1' || p_type, '0') || '|' || coalesce('1' || p_brand, '0')), 1, 15))::BIGINT AS upc, l_orderkey, o_custkey,
          round(l_quantity)::BIGINT AS q, round(l_extendedprice * 100)::BIGINT AS c, round(l_discount * 100)::BIGINT AS d,
          l_returnflag <> 'R' AS kept, (l_linestatus = 'O')::INT AS disp, (o_orderpriority = '1-URGENT')::INT AS tpr
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
@@ -78,23 +78,23 @@ star("v7_impossible_values", DELIVERED + _rules((
 
 _KEY = "week_end_date, store_num::BIGINT AS store_num, upc"
 _ORD = "week_end_date, trans.store_num, upc"
-star("v8_units_per_visit_outliers", f"""SELECT week_end_date, trans.store_num::BIGINT AS store_num, trans.upc, description,
+star("v8_units_per_visit_outliers", DELIVERED + f"""SELECT week_end_date, trans.store_num::BIGINT AS store_num, trans.upc, description,
   category, units, visits, {H("units::DOUBLE / visits", 2)} AS units_per_visit, spend::DOUBLE AS spend,
-  price::DOUBLE AS price FROM trans LEFT JOIN product USING (upc) WHERE visits > 0 AND units::DOUBLE / visits > 10
+  price::DOUBLE AS price FROM delivered trans LEFT JOIN product USING (upc) WHERE visits > 0 AND units::DOUBLE / visits > 10
   ORDER BY units::DOUBLE / visits DESC, {_ORD} LIMIT 50""")
-star("v8_top_units_per_visit", f"""SELECT {_KEY}, units, visits, hhs, display::BIGINT AS display,
-  feature::BIGINT AS feature, {H("units::DOUBLE / visits", 2)} AS units_per_visit FROM trans
+star("v8_top_units_per_visit", DELIVERED + f"""SELECT {_KEY}, units, visits, hhs, display::BIGINT AS display,
+  feature::BIGINT AS feature, {H("units::DOUBLE / visits", 2)} AS units_per_visit FROM delivered trans WHERE visits > 0
   ORDER BY units::DOUBLE / visits DESC, {_ORD} LIMIT 10""")
-star("v9_visits_per_hh_outliers", f"""SELECT week_end_date, trans.store_num::BIGINT AS store_num, trans.upc, description,
-  visits, hhs, {H("visits::DOUBLE / hhs", 2)} AS visits_per_hh, units FROM trans LEFT JOIN product USING (upc)
-  WHERE hhs > 0 AND visits::DOUBLE / hhs > 5 ORDER BY visits::DOUBLE / hhs DESC, {_ORD} LIMIT 50""")
+star("v9_visits_per_hh_outliers", DELIVERED + f"""SELECT week_end_date, trans.store_num::BIGINT AS store_num, trans.upc, description,
+  visits, hhs, {H("visits::DOUBLE / hhs", 2)} AS visits_per_hh, units FROM delivered trans LEFT JOIN product USING (upc)
+  WHERE hhs > 0 AND visits::DOUBLE / hhs > 1 ORDER BY visits::DOUBLE / hhs DESC, {_ORD} LIMIT 50""")
 
-star("v10_date_range", """SELECT min(week_end_date) AS first_week, max(week_end_date) AS last_week,
+star("v10_date_range", DELIVERED + """SELECT min(week_end_date) AS first_week, max(week_end_date) AS last_week,
   count(DISTINCT week_end_date) AS distinct_weeks, 156::BIGINT AS expected_weeks,
-  count(DISTINCT week_end_date) - 156 AS week_difference FROM trans""")
+  count(DISTINCT week_end_date) - 156 AS week_difference FROM delivered""")
 
-star("v11_week_gaps", """, w AS (SELECT week_end_date AS next_week,
-  lag(week_end_date) OVER (ORDER BY week_end_date) AS gap_after_week FROM (SELECT DISTINCT week_end_date FROM trans))
+star("v11_week_gaps", DELIVERED + """, w AS (SELECT week_end_date AS next_week,
+  lag(week_end_date) OVER (ORDER BY week_end_date) AS gap_after_week FROM (SELECT DISTINCT week_end_date FROM delivered))
 SELECT gap_after_week, next_week, datediff('day', gap_after_week, next_week) AS days_between FROM w
 WHERE datediff('day', gap_after_week, next_week) <> 7""")
 

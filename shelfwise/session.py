@@ -41,18 +41,18 @@ def local_session(cpus: int = 8, app: str = "shelfwise", memory: str = "12g") ->
 _OWN_DIRS: dict[str, str] = {}
 
 
-def shared_dir(spark: SparkSession) -> str | None:
+def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see, from ``spark.checkpoint.dir``.
 
-    Unset on a cluster means there is none, and callers keep their lineage.
-    A one-machine session without the setting gets one folder of its own.
+    A cluster must set it.  A one-machine session without the setting (tests,
+    the bench) gets one folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        return None
+    if not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
     if context.applicationId not in _OWN_DIRS:
         _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="shelfwise-")
     return _OWN_DIRS[context.applicationId]

@@ -28,9 +28,14 @@ def week_end(ts: str) -> Column:
 
 
 def upc_of(category: str, brand: str) -> Column:
-    """12-hex-digit product code of a (type, brand) pair; no numbering pass."""
-    key = F.md5(F.concat_ws("|", F.col(category), F.col(brand)))
-    return F.conv(F.substring(key, 1, 12), 16, 10).cast("bigint")
+    """Product code of a (type, brand) pair: 60 bits of a hash, no numbering pass.
+
+    Null is told from every text.  That no two products share a code is checked
+    when the star is stored, which fails otherwise.
+    """
+    part = lambda c: F.coalesce(F.concat(F.lit("1"), F.col(c)), F.lit("0"))
+    key = F.md5(F.concat(part(category), F.lit("|"), part(brand)))
+    return F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint")
 
 
 def _money(ten_thousandths: Column) -> Column:
@@ -152,6 +157,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_type").alias("category"),
             F.concat_ws(" ", "p_type", "p_brand").alias("description"),
             F.col("p_brand").alias("manufacturer"),
+            # Brands are grouped by their first seven characters: that is the sub-category, not a shortened key.
             F.concat_ws(" ", F.col("p_type"), F.substring("p_brand", 1, 7)).alias("sub_category"),
             F.concat(F.lit("SIZE "), F.col("size").cast("string")).alias("product_size"),
         )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.operators.checks import require_many_to_one
 from shelfwise.operators.features import model_table
 from shelfwise.operators.star import Star, build_calendar, build_star
 from shelfwise.session import shared_dir, tune
@@ -16,8 +17,10 @@ from shelfwise.sources.panel import write_table
 
 _SOURCES = ("lineitem", "orders", "part", "supplier", "nation", "region")
 _STAR_TABLES = ("fact", "product", "store", "calendar")
-# What this process has stored: input state -> (folder, schemas).
-_STORED: dict[tuple, tuple] = {}
+#: Goes up when the stored tables change, so that older ones are not read.
+_LAYOUT = 2
+# Folders this process has found or stored, with the schemas of their tables.
+_STORED: dict[str, dict | T.StructType] = {}
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> int:
@@ -46,6 +49,8 @@ def write_star(spark: SparkSession, star: Star, root: str) -> Star:
     write_table(star.fact, f"{root}/fact", partition_by=("year",), cluster_by=fact_key)
     write_table(star.product, f"{root}/product")
     write_table(star.store, f"{root}/store")
+    for name, key in (("product", "upc"), ("store", "store_num")):
+        require_many_to_one(_read(spark, f"{root}/{name}", getattr(star, name).schema), key)
     fact = _read(spark, f"{root}/fact", star.fact.schema)
     weeks = fact.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("week_end_date"))
     calendar = build_calendar(weeks)
@@ -65,49 +70,60 @@ def read_star(spark: SparkSession, root: str, schemas: dict[str, T.StructType] |
     return Star(**{t: _read(spark, f"{root}/{t}", schemas.get(t)) for t in _STAR_TABLES})
 
 
+def _stored(spark: SparkSession, path: str, write) -> str:
+    """``path``, written by ``write(folder)`` unless an earlier session has done so.
+
+    The work goes to a folder of its own that is renamed when it is complete;
+    of two sessions the later one throws its copy away.
+    """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    final, own = where(path), where(f"{path}.{uuid.uuid4().hex}")
+    files = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(final):
+        write(own.toString())
+        if files.exists(final) or not files.rename(own, final):
+            files.delete(own, True)
+    return path
+
+
+def _star_path(spark: SparkSession, sf_dir: str) -> str:
+    state = input_state(spark, sf_dir) % (1 << 64)
+    return f"{shared_dir(spark)}/star-v{_LAYOUT}-{state:016x}"
+
+
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """Star from the shared folder, built when missing or when inputs changed.
 
-    Without a shared folder the lazy plan is returned and lineage is kept.
+    Its folder is named by the fingerprint of the inputs, so later sessions
+    find it.
     """
     tune(spark)
-    root = shared_dir(spark)
-    if root is None:
-        return planned_star(spark, sf_dir)
-    state = (spark.sparkContext.applicationId, root, sf_dir, input_state(spark, sf_dir))
-    if state not in _STORED:
-        path = f"{root}/star-{uuid.uuid4().hex}"
-        star = write_star(spark, planned_star(spark, sf_dir), path)
-        _STORED[state] = (path, {t: getattr(star, t).schema for t in _STAR_TABLES})
-    return read_star(spark, *_STORED[state])
+    path = _star_path(spark, sf_dir)
+    if path not in _STORED:
+        _stored(spark, path, lambda folder: write_star(spark, planned_star(spark, sf_dir), folder))
+        star = read_star(spark, path)
+        _STORED[path] = {t: getattr(star, t).schema for t in _STAR_TABLES}
+    return read_star(spark, path, _STORED[path])
 
 
 def stored_features(spark: SparkSession, sf_dir: str, priority: tuple[str, ...]) -> DataFrame:
     """Model table next to the stored star, so that fits share one build."""
     star = stored_star(spark, sf_dir)
-    root = shared_dir(spark)
-    if root is None:
-        return model_table(star, priority)
-    state = (spark.sparkContext.applicationId, root, sf_dir, input_state(spark, sf_dir))
-    if (*state, priority) not in _STORED:
-        path = f"{_STORED[state][0]}/features-{uuid.uuid4().hex}"
-        table = model_table(star, priority)
-        write_table(table, path, cluster_by=("week_end_date", "store_num", "upc"))
-        _STORED[*state, priority] = (path, table.schema)
-    return _read(spark, *_STORED[*state, priority])
+    path = f"{_star_path(spark, sf_dir)}-features-{'-'.join(priority)}"
+    if path not in _STORED:
+        key = ("week_end_date", "store_num", "upc")
+        _stored(spark, path, lambda folder: write_table(model_table(star, priority), folder, cluster_by=key))
+        _STORED[path] = _read(spark, path).schema
+    return _read(spark, path, _STORED[path])
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a table in the shared folder.
 
     Iterative jobs (model fits, searches) read their input many times; after
-    this a lost executor costs a re-read, not a recomputation.  Without a
-    shared folder the rows are persisted instead.
+    this a lost executor costs a re-read, not a recomputation.
     """
-    root = shared_dir(df.sparkSession)
-    if root is None:
-        return df.persist()
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -3,10 +3,10 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from shelfwise.plans import catalog
 from tests_common import TABLES, ordered
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracles()
 KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 

@@ -11,7 +11,7 @@ from shelfwise.functions import labels
 
 # Decimal places kept beyond those asked for, so that a binary double such as
 # 1.00499999999999989 rounds like the decimal 1.005 it stands for.
-_HEADROOM = 6
+_HEADROOM = 4
 
 
 def col(c: str | Column) -> Column:

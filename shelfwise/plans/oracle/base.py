@@ -57,12 +57,12 @@ calendar AS (
 fact AS (
   SELECT strftime(week_end_date, '%Y%m%d')::INT AS date_key, store_num, upc, units, visits, hhs, spend, price,
          base_price, feature, display, tpr_only,
-         round(((base_price - price)::DOUBLE * 100 / base_price::DOUBLE)::DECIMAL(38,10), 4)::DECIMAL(12,4)
+         round(((base_price - price)::DOUBLE * 100 / base_price::DOUBLE)::DECIMAL(38,8), 4)::DECIMAL(12,4)
            AS discount_pct,
          (base_price - price)::DECIMAL(18,4) AS price_gap,
-         round((spend::DOUBLE / visits)::DECIMAL(38,10), 4)::DECIMAL(18,4) AS revenue_per_visit,
-         round((units::DOUBLE / hhs)::DECIMAL(38,10), 4)::DECIMAL(18,4) AS units_per_hh,
-         round((spend::DOUBLE / hhs)::DECIMAL(38,10), 4)::DECIMAL(18,4) AS spend_per_hh,
+         round((spend::DOUBLE / visits)::DECIMAL(38,8), 4)::DECIMAL(18,4) AS revenue_per_visit,
+         round((units::DOUBLE / hhs)::DECIMAL(38,8), 4)::DECIMAL(18,4) AS units_per_hh,
+         round((spend::DOUBLE / hhs)::DECIMAL(38,8), 4)::DECIMAL(18,4) AS spend_per_hh,
          CASE feature * 100 + display * 10 + tpr_only
            WHEN 111 THEN 'COMBINED' WHEN 110 THEN 'FEATURE_DISPLAY' WHEN 101 THEN 'FEATURE_TPR'
            WHEN 11 THEN 'DISPLAY_TPR' WHEN 100 THEN 'FEATURE_ONLY' WHEN 10 THEN 'DISPLAY_ONLY'
@@ -76,7 +76,7 @@ ef AS (
 
 def H(e: str, d: int) -> str:
     """Half-up rounding of a double expression."""
-    return f"round(({e})::DOUBLE::DECIMAL(38,{d + 6}), {d})::DOUBLE"
+    return f"round(({e})::DOUBLE::DECIMAL(38,{d + 4}), {d})::DOUBLE"
 
 
 def X(e: str, d: int) -> str:

@@ -75,7 +75,7 @@ _NUM = ("units", "visits", "hhs", "spend", "price", "base_price", "discount_pct"
 
 
 def _q(c: str, p: float) -> str:
-    return f"round(quantile_cont({c}::DOUBLE, {p})::DECIMAL(38,10), 4)::DOUBLE"
+    return f"round(quantile_cont({c}::DOUBLE, {p})::DECIMAL(38,8), 4)::DOUBLE"
 
 
 star("x20_numeric_profile", " UNION ALL ".join(f"""SELECT '{c}' AS column_name, count({c}) AS count, {H(f"avg({c}::DOUBLE)", 2)} AS mean,

@@ -19,7 +19,7 @@ test AS (SELECT * FROM feat WHERE week_end_date >= {cut("0.8::DOUBLE")})
 
 
 def mean_model(train: str, test: str, name: str) -> str:
-    return f""", {name} AS (SELECT t.*, round(coalesce(u.m, c.m, (SELECT avg(units) FROM {train}))::DECIMAL(38,12), 6)::DOUBLE
+    return f""", {name} AS (SELECT t.*, round(coalesce(u.m, c.m, (SELECT avg(units) FROM {train}))::DECIMAL(38,10), 6)::DOUBLE
   AS prediction FROM {test} t LEFT JOIN (SELECT upc, avg(units) AS m FROM {train} GROUP BY 1) u USING (upc)
   LEFT JOIN (SELECT category, avg(units) AS m FROM {train} GROUP BY 1) c USING (category))
 """
@@ -37,7 +37,7 @@ _S = "min(week_end_date) AS first_week, max(week_end_date) AS last_week, count(D
 star("ml2_time_split", SPLIT + f"SELECT 'train' AS part, {_S} FROM train UNION ALL SELECT 'test', {_S} FROM test")
 star("ml3_hierarchical_mean", SCORED + "SELECT week_end_date, store_num, upc, units, prediction FROM scored")
 
-LABELS = f""", med AS (SELECT category, round(quantile_cont(units, 0.5)::DECIMAL(38,10), 4)::DOUBLE AS med FROM feat
+LABELS = f""", med AS (SELECT category, round(quantile_cont(units, 0.5)::DECIMAL(38,8), 4)::DOUBLE AS med FROM feat
   WHERE week_end_date < {cut("0.8::DOUBLE")} GROUP BY 1),
 lab AS (SELECT feat.*, (units > coalesce(med, 0))::BIGINT AS high_sales FROM feat LEFT JOIN med USING (category))
 """
@@ -70,7 +70,7 @@ star("ml10_variance_filter", SPLIT + "SELECT feature_name, variance, variance >
 
 
 def _cuts(c: str, where: str) -> str:
-    return ", ".join(f"round(quantile_cont({c}, {i / 10})::DECIMAL(38,10), 4)::DOUBLE AS c{i}" for i in range(1, 10))
+    return ", ".join(f"round(quantile_cont({c}, {i / 10})::DECIMAL(38,8), 4)::DOUBLE AS c{i}" for i in range(1, 10))
 
 
 _BIN = lambda c, t: " + ".join(f"({c} > {t}.c{i})::INT" for i in range(1, 10))

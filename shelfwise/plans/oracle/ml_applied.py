@@ -64,7 +64,7 @@ ERR = SCORED + f""", err AS (SELECT *, units AS actual, prediction AS predicted,
   CASE WHEN discount_pct > -1 AND discount_pct <= 100
        THEN {bands("discount_pct", L.ERROR_BUCKET_EDGES, L.ERROR_BUCKETS, "<=")} END AS discount_bucket FROM scored)
 """
-_Q = lambda p, d: f"round(quantile_cont(abs_error, {p})::DECIMAL(38,{d + 6}), {d})::DOUBLE"
+_Q = lambda p, d: f"round(quantile_cont(abs_error, {p})::DECIMAL(38,{d + 4}), {d})::DOUBLE"
 star("er1_error_rows", ERR + """SELECT week_end_date, store_num, upc, actual, predicted, error, abs_error, error_pct,
   smape_error FROM err""")
 star("er1_error_summary", ERR + f"""SELECT {H("avg(abs_error)", 4)} AS mean_abs_error,
@@ -91,7 +91,7 @@ s AS (SELECT *, (flag_high_discount::INT + flag_risky_category::INT + flag_deman
 SELECT *, CASE risk_score WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' ELSE 'High' END AS risk_level FROM s""")
 
 GM = FEAT + """, gm AS (SELECT category, seg_value_name, """ + ", ".join(
-    f"round(avg({c})::DECIMAL(38,12), 6)::DOUBLE AS {c}" for c in ("price", "base_price")) + " FROM feat GROUP BY 1, 2)\n"
+    f"round(avg({c})::DECIMAL(38,10), 6)::DOUBLE AS {c}" for c in ("price", "base_price")) + " FROM feat GROUP BY 1, 2)\n"
 _DISC = H("greatest((base_price - p) * 100 / base_price, 0)", 6)
 _ZONE = bands("discount_pct", L.DISCOUNT_ZONE_EDGES, L.DISCOUNT_ZONES)
 star("sc1_price_grid", GM + f""", g AS (SELECT category, seg_value_name, base_price, c::DOUBLE AS price_change_pct,

@@ -100,9 +100,9 @@ def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     tune(spark)
     path = _star_path(spark, sf_dir)
     if path not in _STORED:
-        _stored(spark, path, lambda folder: write_star(spark, planned_star(spark, sf_dir), folder))
-        star = read_star(spark, path)
-        _STORED[path] = {t: getattr(star, t).schema for t in _STAR_TABLES}
+        planned = planned_star(spark, sf_dir)
+        _stored(spark, path, lambda folder: write_star(spark, planned, folder))
+        _STORED[path] = {t: getattr(planned, t).schema for t in _STAR_TABLES}
     return read_star(spark, path, _STORED[path])
 
 

@@ -161,7 +161,7 @@ def sequences(
     packed = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     written = packed.mapInArrow(_pack(vocabulary, length), _SEQUENCES)
     path = f"{scratch.root}/tokens"
-    written.write.option("compression", "zstd").parquet(path)
+    written.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "7"}).parquet(path)
     tokens = spark.read.schema(written.schema).parquet(path)
     counts = tokens.groupBy("part").agg(F.count(F.lit(1)).alias("_n"))
     n = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
@@ -185,7 +185,7 @@ def sequences(
 
 @F.pandas_udf(T.BinaryType())
 def _squeeze(payload: pd.Series) -> pd.Series:
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    squeeze = zstandard.ZstdCompressor(level=7).compress
     return payload.map(lambda b: squeeze(bytes(b)))
 
 

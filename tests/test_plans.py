@@ -1,5 +1,7 @@
 """Physical plans: shuffles, scans, pruning, and independence of partitioning."""
 
+import pytest
+
 from shelfwise.plans.context import Context
 from shelfwise.sources import crosswalk, marts
 
@@ -73,15 +75,24 @@ def test_shared_folder_follows_the_session(spark):
     assert marts.cut_lineage(spark.range(5), "ids").count() == 5
 
 
-def test_without_shared_folder_plans_keep_their_lineage(spark, sf_dir, monkeypatch):
-    from shelfwise.plans.context import runner
+def test_a_cluster_must_name_its_folder():
+    from types import SimpleNamespace
+
+    from shelfwise import session
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="none"),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(cluster)
+
 
-    want = sorted(map(tuple, runner("m2_category_kpis")(spark, sf_dir).collect()))
-    features = Context(spark, sf_dir).features
-    monkeypatch.setattr(marts, "shared_dir", lambda session: None)
-    assert sorted(map(tuple, runner("m2_category_kpis")(spark, sf_dir).collect())) == want
-    lazy = Context(spark, sf_dir).features
-    assert lazy.columns == features.columns and lazy.count() == features.count()
+def test_a_stored_star_is_found_again(spark, sf_dir, monkeypatch):
+    marts.stored_star(spark, sf_dir)
+    monkeypatch.setattr(marts, "_STORED", {})
+    monkeypatch.setattr(marts, "write_star", lambda *args: pytest.fail("written again"))
+    assert marts.stored_star(spark, sf_dir).fact.count() > 0
 
 
 def test_changed_inputs_are_noticed(spark, sf_dir, tmp_path):

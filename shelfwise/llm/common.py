@@ -41,7 +41,8 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, what: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/llm/{what}-{uuid.uuid4().hex}"
+        self.spark, self.name = spark, f"{what}-{uuid.uuid4().hex}"
+        self.root = f"{shared_dir(spark)}/llm/{self.name}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
@@ -49,7 +50,14 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Remove a table that no later step reads."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        self._delete(f"{self.root}/{name}")
+
+    def clear(self) -> None:
+        """Remove all tables of the run."""
+        self._delete(self.root)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

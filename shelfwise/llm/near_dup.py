@@ -2,9 +2,11 @@
 
 1. Each text gets a signature; equal texts become one node.
 2. Bands of the signature are hashed; in each bucket every node is paired with
-   the bucket's smallest node.  Pairs whose signatures agree enough join to
-   groups.  Two texts with similarity 0.8 share about a third of the bands, so
-   they end up in one group even where some bucket's smallest node is strange.
+   the bucket's smallest node, its hub.  Pairs whose signatures agree enough
+   join to groups.  Nodes that are almost equal to their hub are done: whatever
+   is similar to them agrees with the hub as well.  Where the others of a bucket
+   are of more than one group, all of them are compared by signature, in tiles
+   of a bounded number of nodes, and those that agree join their groups.
 3. All pairs inside a group are compared exactly, as products of 0/1 matrices
    in numpy.  Groups are cut into tiles of a bounded number of texts, so a
    group of any size is many small tasks; a task returns at most one link per
@@ -33,6 +35,12 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 26, 5
 #: Agreement of signatures that puts a pair into one group; far below the similarity asked for.
 AGREEMENT = 0.45
+#: Agreement with the hub from which a node needs no other partner in the bucket.  Differences of signatures add up at
+#: most: what agrees with the node in 0.55 or more agrees with the hub in 0.45 or more; a pair at similarity 0.8 agrees
+#: in less than 0.55 with probability 1 in 10 ** 10.
+SETTLED = 0.9
+#: Nodes of a tile of signatures, about.
+SIGN_TILE = 1024
 #: Texts of a tile, about.
 TILE = 256
 #: Columns of one matrix product.
@@ -99,6 +107,37 @@ def overlap(texts: list[str], left: np.ndarray, right: np.ndarray) -> tuple[np.n
     return out, weight[left], weight[right]
 
 
+def _links(near: np.ndarray, left: np.ndarray, right: np.ndarray, node: np.ndarray) -> pd.DataFrame:
+    """Links (a, b) that connect the rows left x right where ``near``: at most one per row."""
+    label = np.arange(len(node))
+    while True:
+        low = np.where(near, label[right][None, :], len(node)).min(1) if len(right) else label[left]
+        new = label.copy()
+        np.minimum.at(new, left, low)
+        low = np.where(near, new[left][:, None], len(node)).min(0) if len(left) else new[right]
+        np.minimum.at(new, right, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    off = np.flatnonzero(label != np.arange(len(node)))
+    return pd.DataFrame({"a": node[off], "b": node[label[off]]}, columns=["a", "b"]).astype("int64")
+
+
+def sign_links(tile: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that connect the nodes of a bucket whose signatures agree enough and whose groups differ."""
+    tile = tile.sort_values(["group", "node"]).reset_index(drop=True)
+    left = np.flatnonzero(tile["side"] != 1)
+    right = np.flatnonzero(tile["side"] != 0)
+    bucket, group = tile["group"].to_numpy(), tile["linked"].to_numpy()
+    sign = np.frombuffer(b"".join(tile["sign"]), np.uint32).reshape(len(tile), -1)
+    same = np.zeros((len(left), len(right)), np.int16)
+    for value in sign.T:
+        same += value[left][:, None] == value[right][None, :]
+    near = (same >= AGREEMENT * sign.shape[1]) & (bucket[left][:, None] == bucket[right][None, :])
+    return _links(near & (group[left][:, None] != group[right][None, :]), left, right, tile["node"].to_numpy())
+
+
 def tile_links(tile: pd.DataFrame, similarity: float = SIMILARITY) -> pd.DataFrame:
     """Links (a, b) that connect what is similar in one tile: at most one per text."""
     tile = tile.sort_values("node").reset_index(drop=True)
@@ -109,19 +148,7 @@ def tile_links(tile: pd.DataFrame, similarity: float = SIMILARITY) -> pd.DataFra
     union = wl[:, None] + wr[None, :] - inter
     # Overlaps are whole numbers: half a unit in the last place cannot turn the comparison.
     near = (inter >= similarity * union - 1e-9) & (inter > 0) & (group[left][:, None] == group[right][None, :])
-    label = np.arange(len(tile))
-    while True:
-        low = np.where(near, label[right][None, :], len(tile)).min(1) if len(right) else label[left]
-        new = label.copy()
-        np.minimum.at(new, left, low)
-        low = np.where(near, new[left][:, None], len(tile)).min(0) if len(left) else new[right]
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    off = np.flatnonzero(label != np.arange(len(tile)))
-    return pd.DataFrame({"a": node[off], "b": node[label[off]]}, columns=["a", "b"]).astype("int64")
+    return _links(near, left, right, node)
 
 
 def tiles(members: DataFrame, size: int = TILE) -> DataFrame:
@@ -163,6 +190,22 @@ def tiles(members: DataFrame, size: int = TILE) -> DataFrame:
     return small.union(large)
 
 
+def strangers(paired: DataFrame, scored: DataFrame, linked: DataFrame, signs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the members of each bucket that their hub does not settle.
+
+    Members of one group (``linked``) need no link, so a bucket whose members
+    are all of one group is done.
+    """
+    rest = paired.join(scored.where(F.col("agreement") < SETTLED), ["node", "hub"]).select("band", "node")
+    rest = rest.join(linked, "node", "left").select("band", "node", F.coalesce("component", "node").alias("linked"))
+    rest = scratch.table(rest, "rest")
+    mixed = rest.groupBy("band").agg(F.min("linked").alias("_a"), F.max("linked").alias("_b")).where("_a != _b")
+    members = scratch.table(rest.join(mixed.select("band"), "band", "left_semi"), "strangers")
+    dealt = tiles(members.select(F.col("band").alias("group"), "node"), SIGN_TILE)
+    dealt = dealt.join(members.select("node", "linked").distinct(), "node").join(signs, "node")
+    return dealt.groupBy("tile").applyInPandas(lambda tile: sign_links(tile), "a long, b long")
+
+
 def classes(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with class_id, the smallest id of the row's class, and kept, true for one row per class.
 
@@ -187,15 +230,21 @@ def classes(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     )
     exploded = nodes.select("node", F.explode("bands").alias("band"))
     hubs = exploded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    pairs = exploded.join(hubs.select("band", "hub"), "band").where("node != hub").select("node", "hub").distinct()
+    paired = exploded.join(hubs.select("band", "hub"), "band").where("node != hub").select("band", "node", "hub")
+    paired = scratch.table(paired, "paired")
     signs = nodes.select("node", "sign")
-    agreed = (
-        pairs.join(signs, "node")
+    scored = (
+        paired.select("node", "hub").distinct()
+        .join(signs, "node")
         .join(signs.toDF("hub", "hub_sign"), "hub")
-        .where(_agreement("sign", "hub_sign") >= AGREEMENT)
-        .select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    )
-    groups = components(agreed, scratch, "group").select(F.col("component").alias("group"), "node")
+        .select("node", "hub", _agreement("sign", "hub_sign").alias("agreement"))
+    )
+    scored = scratch.table(scored, "scored")
+    agreed = scored.where(F.col("agreement") >= AGREEMENT).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    linked = scratch.table(components(agreed, scratch, "linked"), "linked")
+    more = scratch.table(strangers(paired, scored, linked, signs, scratch), "more")
+    among = linked if more.isEmpty() else components(agreed.union(more), scratch, "group")
+    groups = among.select(F.col("component").alias("group"), "node")
     groups = scratch.table(groups, "groups")
     texts = worded.join(groups.select(F.col("node").alias("row")), "row", "left_semi").select(
         F.col("row").alias("node"), row_text.cast("string").alias("text")

@@ -4,9 +4,11 @@ import itertools
 import random
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,6 +267,28 @@ def test_classes_like_all_pairs(spark, monkeypatch, tile):
     assert all(r["kept"] for r in out if not words(r["text"]))
 
 
+@pytest.mark.parametrize("tile", [1024, 5])
+def test_near_copies_whose_hub_is_a_stranger(spark, monkeypatch, tile):
+    # Every bucket's smallest node is one long text that only has the shared passage in common with the pairs.
+    monkeypatch.setattr(near_dup, "SIGN_TILE", tile)
+    signed = near_dup._sign.func
+
+    def one_bucket(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for frame in signed(batches):
+            yield frame.assign(bands=[[7] * bool(len(b)) for b in frame["bands"]])
+
+    monkeypatch.setattr(near_dup, "_sign", F.pandas_udf(one_bucket, near_dup._SIGNED))
+    rng = random.Random(4)
+    shared = [f"p{k}" for k in range(60)]
+    rows = [(0, " ".join(shared + [f"h{k}" for k in range(600)]))]
+    for k in range(1, 21):
+        own = shared + [f"t{k}_{j}" for j in range(240)]
+        rows += [(10 * k, " ".join(own)), (10 * k + 1, " ".join([*own[:-10], *(f"e{rng.randrange(10**6)}" for _ in range(10))]))]
+    df = docs_frame(spark, [(i, t, "s") for i, t in rows]).coalesce(1)
+    out = near_dup.classes(df, Scratch(small_batches(spark), "t")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in out} == {i: i - i % 10 for i, _ in rows}
+
+
 def test_near_copies_of_nothing(spark):
     assert near_dup.distinct_texts(docs_frame(spark, []), Scratch(small_batches(spark), "t")).count() == 0
 

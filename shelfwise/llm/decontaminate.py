@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask picks some of 13 neighbouring words and ignores the others; the picked
-words of every window are hashed, in the test items and in the documents.  A
-substituted word leaves the windows alone whose masks ignore it.  Documents are
+A mask picks six of at most 10 neighbouring words and ignores the others; the
+picked words of every window are hashed, in the test items and in the documents.
+A substituted word leaves the windows alone whose masks ignore it.  The masks
+are chosen together: whatever the verification accepts has a window that one of
+them matches.  Documents are
 filtered against a bitmap of the test hashes of fixed size, the few hits left
 are joined with the test hashes, and each (document, item, offset) is verified:
 word by word along the offset, the best-scoring stretch of matches and
@@ -23,9 +25,11 @@ from shelfwise.llm.common import Scratch, packed, read, unpacked
 from shelfwise.llm.registry import query
 from shelfwise.llm.shingles import mix64, word_hashes
 
-# Masks, 1 for the words that count.  Items of 8 to 12 words only have windows of the short masks.
-MASKS = ("1110100110111", "1101011001011", "1011001101101")
-SHORT_MASKS = ("11101111", "11011011")
+# Masks, 1 for the words that count.  Every stretch of LEAST_WORDS matches or more, SHARE of it or more and
+# nowhere below zero with PENALTY, has a window where all words of some mask match (tested up to 60 words).
+MASKS = ("111111", "110001111", "101010111", "1100101011", "1010011011", "1110100101", "1110100011")
+#: Items of fewer words have no seeds.
+ITEM_WORDS = 8
 #: Words that must match in a stretch, and their share of it.
 LEAST_WORDS, SHARE = 10, 0.75
 #: A stretch loses so much by a substitution.
@@ -54,17 +58,17 @@ def masked_hashes(words: np.ndarray, counts: np.ndarray, mask: str, name: int) -
 def seed_hits(texts: list[str | None], bitmap: np.ndarray | None, items: bool) -> list[list[tuple[int, int]]]:
     """(word offset, hash) of each text's windows, of those in the bitmap if there is one.
 
-    Items shorter than the long masks use the short ones; documents use both.
+    Items of fewer than ITEM_WORDS words have none.
     """
     words, counts = word_hashes(texts, folded=True)
     first = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(counts)), counts)
     out: list[list[tuple[int, int]]] = [[] for _ in texts]
-    for name, mask in enumerate((*MASKS, *SHORT_MASKS)):
+    for name, mask in enumerate(MASKS):
         at, value = masked_hashes(words, counts, mask, name)
-        if items and name >= len(MASKS):
-            short = counts[owner[at]] < len(MASKS[0])
-            at, value = at[short], value[short]
+        if items:
+            long = counts[owner[at]] >= ITEM_WORDS
+            at, value = at[long], value[long]
         if bitmap is not None:
             found = _bits(bitmap, value) & _bits(bitmap, mix64(value))
             at, value = at[found], value[found]
@@ -119,12 +123,19 @@ def best_stretch(doc: np.ndarray, item: np.ndarray, offset: int) -> tuple[int, i
     return lo + offset + start, end - start, int(same[start:end].sum())
 
 
+def counts_as_found(stretch: tuple[int, int, int], item_words: int) -> bool:
+    _, words, matched = stretch
+    return matched >= min(LEAST_WORDS, item_words) and matched >= SHARE * words
+
+
 @F.pandas_udf(_STRETCH)
 def _verify(texts: pd.Series, items: pd.Series, offsets: pd.Series) -> pd.DataFrame:
     rows = []
     for text, item, some in zip(texts, items, offsets, strict=True):
         doc, own = word_hashes([text], folded=True)[0], word_hashes([item], folded=True)[0]
-        rows.append(max((best_stretch(doc, own, int(o)) for o in some), key=lambda s: (s[2], -s[1], -s[0])))
+        # A longer stretch that does not count must not hide one that does, at another offset.
+        found = (best_stretch(doc, own, int(o)) for o in some)
+        rows.append(max(found, key=lambda s: (counts_as_found(s, len(own)), s[2], -s[1], -s[0])))
     return pd.DataFrame(rows, columns=["start", "words", "matched"], dtype="int32")
 
 

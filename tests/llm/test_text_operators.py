@@ -333,6 +333,62 @@ def plain_leaks(rows, tests):
     return found
 
 
+def test_masks_meet_all_accepted_stretches():
+    """Stretches that no mask meets, word by word: none of them is ever accepted."""
+    reach = max(map(len, decontaminate.MASKS))
+    masks = [int(m, 2) for m in decontaminate.MASKS]
+    assert reach <= decontaminate.LEAST_WORDS
+    # The last words as bits, matches, substitutions, the best score so far; a stretch ends at a new best score.
+    states, cost = {(1, 1, 0, 1.0)}, decontaminate.PENALTY
+    for _ in range(60):
+        nxt = set()
+        for bits, m, k, top in states:
+            score = m + 1 - cost * k
+            new = (bits << 1 | 1) & ((1 << reach) - 1)
+            if not any(new & mask == mask for mask in masks):
+                counts = decontaminate.counts_as_found((0, m + 1 + k, m + 1), 60)
+                assert not (score > top and counts), (bits, m, k)
+                nxt.add((new, m + 1, k, max(top, score)))
+            if m - cost * (k + 1) >= 0:
+                nxt.add(((bits << 1) & ((1 << reach) - 1), m, k + 1, top))
+        states = nxt
+
+
+def test_short_runs_and_random_substitutions_like_all_offsets(spark):
+    rng = random.Random(8)
+    rows, tests, want = [], [], set()
+    for k in range(120):
+        item = [f"i{rng.randrange(9000)}" for _ in range(rng.choice([10, 12, 13, 14, 17, 20, 25]))]
+        if k % 4 == 0:  # an exact run of 10 to 12 words of a longer item
+            n, at = rng.randrange(10, 13), rng.randrange(8)
+            item = [f"r{k}_{j}" for j in range(30)]
+            part = item[at : at + n]
+        else:
+            part = [w if rng.random() > 0.2 else f"s{rng.randrange(10**6)}" for w in item]
+        around = [f"d{rng.randrange(9000)}" for _ in range(15)]
+        rows.append((k, " ".join(around + part + around)))
+        tests.append((k, " ".join(item)))
+    # At one offset a longer stretch has too few matches, at another a shorter one counts.
+    item = [f"l{j}" for j in range(60)]
+    sparse = [w if j < 12 or 18 <= j < 30 or 36 <= j < 48 or 54 <= j else f"z{j}" for j, w in enumerate(item)]
+    rows.append((500, " ".join([*sparse, "gap", *item[:11]])))
+    tests.append((500, " ".join(item)))
+    for d, text in rows:
+        for k, item in tests:
+            doc, own = (word_hashes([t], folded=True)[0] for t in (text, item))
+            if not np.isin(own, doc).any():
+                continue
+            best = (decontaminate.best_stretch(doc, own, o) for o in range(-len(own), len(doc)))
+            if any(m >= min(decontaminate.LEAST_WORDS, len(own)) and m >= decontaminate.SHARE * n for _, n, m in best):
+                want.add((d, k))
+    docs = docs_frame(spark, [(i, t, "s") for i, t in rows])
+    items = spark.createDataFrame(tests, "item_id long, text string")
+    found = decontaminate.contaminated(docs, items, Scratch(small_batches(spark), "t"))
+    keyed = docs.withColumn("_key", decontaminate.text_key()).join(found, "_key")
+    assert {(r["doc_id"], r["item"]) for r in keyed.select("doc_id", "item").collect()} == want
+    assert {(k, k) for k in range(0, 120, 4)} | {(500, 500)} <= want and len(want) > 70
+
+
 def test_leaks_like_all_offsets(spark):
     rows, tests = leak_tables(spark)
     docs = with_clashes(docs_frame(spark, [(i, t, "s") for i, t in rows]))

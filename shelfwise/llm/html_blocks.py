@@ -10,6 +10,14 @@ from typing import NamedTuple
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style".split())
 UNSEEN = frozenset("head title template textarea svg math iframe object canvas audio video noframes noembed".split())
+#: What can stand in a head; any other start tag ends it.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Unseen elements that any start tag of HTML's own blocks ends.
+FOREIGN = frozenset("svg math".split())
+BLOCK = frozenset(
+    "article aside blockquote body center dd div dl dt fieldset footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre"
+    " section table ul".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
     " span strike strong sub sup time tt u var wbr".split()
@@ -22,7 +30,10 @@ CLOSES = {
 SCOPE = frozenset("html body table ul ol dl select article section main div nav aside header footer form td th".split())
 
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*>""", re.S
+    r"""<!--(?:-?>|.*?(?:-->|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)"""
+    # Quotes delimit a value only right after its equals sign; they are plain characters elsewhere.
+    r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)>|<[a-zA-Z/!?][^>]*>""",
+    re.S,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -54,7 +65,8 @@ def blocks(page: str | None) -> list[Block]:
 
     Scripts, styles, comments and the head are left out; character references
     are decoded; white space becomes single spaces; an open paragraph or list
-    item ends where the next one begins.
+    item ends where the next one begins.  A head without an end tag ends where
+    the body begins; another unseen element that is never closed hides nothing.
     """
     page = page or ""
     out: list[Block] = []
@@ -80,10 +92,19 @@ def blocks(page: str | None) -> list[Block]:
             unseen -= name in UNSEEN
         del open_tags[place:]
 
+    last_end: dict[str, int] = {}
+
+    def closed_later(name: str, at: int) -> bool:
+        if name not in last_end:
+            last_end[name] = max((m.start() for m in re.finditer(rf"</{name}(?![a-z0-9:-])", page, re.I)), default=-1)
+        return last_end[name] >= at
+
     at = 0
     while at < len(page):
         found = _MARKUP.search(page, at)
         end = found.start() if found else len(page)
+        if unseen and open_tags[-1][0] == "head" and page[at:end].strip():
+            pop_to(len(open_tags) - 1)
         if end > at and not unseen:
             texts.append(page[at:end])
             if any(name == "a" for name, _, _ in open_tags[-4:]):
@@ -112,7 +133,26 @@ def blocks(page: str | None) -> list[Block]:
                 if name in INLINE and open_tags[place][0] not in INLINE:
                     break
             continue
-        if name in VOID or attributes.endswith("/") and name in INLINE:
+        for place in range(len(open_tags) - 1, -1, -1) if unseen else ():
+            around = open_tags[place][0]
+            if around in FOREIGN and name in BLOCK:
+                pop_to(place)
+            elif around == "head" and (name == "body" or place == len(open_tags) - 1 and name not in HEAD):
+                pop_to(place)
+                break
+            elif around in UNSEEN and around not in FOREIGN or around == "foreignobject":
+                break
+        if name in VOID or attributes.endswith("/") and (name in INLINE or name in FOREIGN):
+            continue
+        if name == "title" and not any(around in FOREIGN for around, _, _ in open_tags):
+            close = re.compile(r"</title\b[^>]*>|<body\b", re.I).search(page, at) if closed_later(name, at) else None
+            if close and close[0][1] == "/":  # its text may hold anything
+                at = close.end()
+            else:
+                start = page.find("<", at)
+                at = start if start >= 0 else len(page)
+            continue
+        if name in UNSEEN and name != "head" and not closed_later(name, at):
             continue
         ends = CLOSES.get(name, () if name in INLINE else ("p",))
         if name not in INLINE:

@@ -36,6 +36,27 @@ def test_blocks_of_odd_markup():
     assert len(text("<p>" + "w " * 200_000 + "</p>" * 3 + "<div>" * 2000 + "deep")) == 2
 
 
+def test_blocks_after_elements_that_are_never_closed():
+    text = lambda page: [b.text for b in blocks(page)]
+    assert text("<html><head><title>t</title><meta charset=x><body><p>a<p>b") == ["a", "b"]
+    assert text("<head><title>t</title><link href=x><p>a</p><div>b</div>") == ["a", "b"]
+    assert text("<head><title>t</title>plain<p>b") == ["plain", "b"]
+    assert text("<head><title>never closed<body><p>a</p>") == text("<head><title>never closed<p>a</p>") == ["a"]
+    assert text("<head><title>a <b>c</b> <p>d</title><noscript><img src=x></noscript></head><p>b") == ["b"]
+    for name in "svg iframe object canvas audio video textarea math noembed".split():
+        assert text(f"<div><p>a</p><{name} x=y><p>b</p><p>c</p></div>d") == ["a", "b", "c", "d"], name
+        assert text(f"<div><p>a</p><{name}>hidden</{name}><p>b</p></div>") == ["a", "b"], name
+    assert text("<div><svg><path/><p>a</p><svg><text>no</text></svg><p>b</p>") == ["a", "b"]
+    assert text("<p>a <svg/>b</p><svg><text>no</text></svg>") == ["a", "b"]
+
+
+def test_blocks_of_quotes_and_empty_comments():
+    text = lambda page: [b.text for b in blocks(page)]
+    assert text("<p title=it's>First it's par.</p><p>Second it's par.</p>") == ["First it's par.", "Second it's par."]
+    assert text("""<p title=5"x>a</p><p class = 'b>c' id="d'>e">f "g"</p>""") == ["a", 'f "g"']
+    assert text("<p>a</p><!--><p>b</p><!-- c --><p>d</p><!---><p>e</p><!-- f -->") == ["a", "b", "d", "e"]
+
+
 def test_field_on_pages_it_has_not_seen(field):
     pages = labelled_pages(200, 77)
     right = [(a, b) for page, labels in pages for a, b in zip(field.labels(blocks(page)), labels, strict=True)]

@@ -6,7 +6,10 @@ from importlib import import_module
 
 from shelfwise.llm.registry import ORACLES, QUERIES
 
-_MODULES = ("mixing", "secrets", "url_filter", "toxicity", "near_dup", "decontaminate", "embed_dup", "token_output", "html_extract", "license_scan")
+_MODULES = (
+    "mixing", "secrets", "url_filter", "toxicity", "near_dup", "decontaminate", "embed_dup", "token_output", "html_extract", "license_scan",
+    "vector_clusters", "conversations", "warc",
+)
 
 for _module in _MODULES:
     import_module(f"shelfwise.llm.{_module}")

@@ -1,5 +1,5 @@
 from shelfwise.functions import labels as L
-from shelfwise.plans.oracle.base import H, bands, m, mean, rate, star
+from shelfwise.plans.oracle.base import H, STAR, bands, m, mean, oracle, rate, star
 from shelfwise.plans.oracle.feature_jobs import FEAT
 from shelfwise.plans.oracle.ml import METRICS, SCORED, SMAPE
 
@@ -57,6 +57,30 @@ star("ar3_top_rules", PB + f", r AS ({RULES})" + " UNION ALL ".join(
     f"(SELECT *, '{k}' AS ranked_by FROM r ORDER BY {k} DESC, antecedents, consequents LIMIT 5)"
     for k in ("lift", "confidence")))
 
+# Every subset of every basket, grown by one larger item at a time.
+_SUBSETS = """b AS MATERIALIZED ({baskets}),
+sub AS (SELECT basket, [item] AS items, item AS last FROM b
+  UNION ALL SELECT s.basket, list_append(s.items, b.item), b.item FROM sub s JOIN b ON b.basket = s.basket AND b.item > s.last),
+tot AS (SELECT count(DISTINCT basket) AS total FROM b),
+sets AS (SELECT items, count(*) AS n, any_value(total) AS total FROM sub, tot GROUP BY items HAVING count(*) >= 0.001 * any_value(total))
+"""
+_SETS = f"""SELECT array_to_string(items, ', ') AS itemset, len(items)::BIGINT AS items, {H("n::DOUBLE / total", 6)} AS support FROM sets"""
+_ORDERS = "WITH RECURSIVE " + _SUBSETS.format(baskets="""SELECT DISTINCT l_orderkey AS basket, upper(p_brand) AS item
+  FROM lineitem JOIN part ON p_partkey = l_partkey""")
+oracle("ar2_basket_itemsets", _ORDERS + _SETS)
+oracle("ar3_basket_rules", _ORDERS + f""", parts AS (SELECT z.n, z.total, a.n AS na, c.n AS nc, a.items AS x, c.items AS y
+  FROM sets z JOIN sets a ON len(a.items) < len(z.items) AND list_has_all(z.items, a.items)
+  JOIN sets c ON c.items = list_filter(z.items, lambda i: NOT list_contains(a.items, i)))
+SELECT * FROM (SELECT array_to_string(x, ', ') AS antecedents, array_to_string(y, ', ') AS consequents,
+  {H("n::DOUBLE / total", 6)} AS support, {H("(n::DOUBLE / total) / (na::DOUBLE / total)", 6)} AS confidence,
+  {H("(n::DOUBLE / total) / ((na::DOUBLE / total) * (nc::DOUBLE / total))", 6)} AS lift FROM parts) WHERE lift >= 1""")
+# Only items that are frequent by themselves can be in a frequent set.
+oracle("ar2_store_week_itemsets", STAR.replace("WITH panel", "WITH RECURSIVE panel", 1) + ", " + _SUBSETS.format(
+  baskets="""SELECT date_key * 1000000::BIGINT + store_num AS basket, upc::VARCHAR AS item FROM fact
+    WHERE upc IN (SELECT upc FROM fact GROUP BY upc HAVING count(*) >= 0.001 * (SELECT count(DISTINCT (date_key, store_num)) FROM fact))""")
+  .replace("SELECT count(DISTINCT basket) AS total FROM b", "SELECT count(DISTINCT (date_key, store_num)) AS total FROM fact")
+  .replace("AND b.item > s.last", "AND b.item > s.last AND len(s.items) < 3") + _SETS)
+
 ERR = SCORED + f""", err AS (SELECT *, units AS actual, prediction AS predicted, {H("units - prediction", 6)} AS error,
   {H("abs(units - prediction)", 6)} AS abs_error,
   {H("abs(units - prediction) / CASE WHEN units > 0 THEN units ELSE 1 END * 100", 6)} AS error_pct,

@@ -1,6 +1,8 @@
 """Ranks, shares, scale-out ranks, trends and comparisons on small rows."""
 
+import collections
 import datetime as dt
+import itertools
 import random
 import statistics
 
@@ -167,13 +169,47 @@ def test_folds_never_split_a_week(spark):
 def test_rules_from_combinations(spark):
     rows = [(1, 1, 0)] * 4 + [(1, 0, 0)] * 4 + [(0, 0, 1)] * 2 + [(0, 0, 0)] * 5
     df = spark.createDataFrame(rows, "feature int, display int, tpr_only int")
-    support = {r.itemset: r.support for r in rules.itemsets(df).collect()}
+    sets = rules.frequent_sets(rules.lever_baskets(df))
+    support = {r.itemset: r.support for r in rules.itemsets(sets).collect()}
     assert support["feature_ad"] == 0.8 and support["feature_ad, in_store_display"] == 0.4
-    found = {(r.antecedents, r.consequents): r for r in rules.rules(df).collect()}
+    found = {(r.antecedents, r.consequents): r for r in rules.rules(sets).collect()}
     hit = found["in_store_display", "feature_ad"]
     assert (hit.confidence, hit.lift) == (1.0, 1.25)
 
 
+def plain_sets(baskets, min_support):
+    """Every subset of every basket, counted."""
+    counts = collections.Counter(
+        c for basket in baskets for size in range(1, len(basket) + 1) for c in itertools.combinations(sorted(basket), size)
+    )
+    return {c: n for c, n in counts.items() if n >= min_support * len(baskets)}
+
+
+@pytest.mark.parametrize("bits", [rules.BITS, 7])
+def test_item_sets_against_all_subsets(spark, monkeypatch, bits):
+    """Any size of set, equal baskets, empty ones, bitmaps of one block and of many."""
+    monkeypatch.setattr(rules, "BITS", bits)
+    monkeypatch.setattr(rules, "PLANNED", max(bits // 3, 2))
+    monkeypatch.setattr(rules, "SMALL", 64 if bits > 7 else 3)
+    rng = random.Random(11)
+    baskets = [rng.sample("abcdefghij", rng.randrange(0, 7)) for _ in range(300)]
+    baskets += [["a", "b", "c", "d", "e"]] * 37 + [list("zyx")] * 3 + [[]] * 5
+    df = spark.createDataFrame([(sorted(b),) for b in baskets], "items array<string>")
+    want = plain_sets(baskets, 0.02)
+    got = rules.frequent_sets(df, 0.02)
+    rows = got.collect()
+    assert {tuple(r["items"]): r["n"] for r in rows} == want and len(rows) == len(want)
+    assert max(map(len, want)) == 5 and {r["total"] for r in rows} == {len(baskets)}
+    pairs = rules.frequent_sets(df, 0.02, max_size=2).collect()
+    assert {tuple(r["items"]) for r in pairs} == {c for c in want if len(c) <= 2}
+    found = {(r.antecedents, r.consequents): r.confidence for r in rules.rules(got, min_lift=0.0).collect()}
+    both = [(a, tuple(x for x in c if x not in a)) for c in want for k in range(1, len(c)) for a in itertools.combinations(c, k)]
+    assert set(found) == {(", ".join(a), ", ".join(c)) for a, c in both}
+    for a, c in both:
+        assert found[", ".join(a), ", ".join(c)] == pytest.approx(want[tuple(sorted(a + c))] / want[a], abs=1e-6)
+    assert rules.frequent_sets(df.limit(0)).collect() == []
+
+
 def test_risk_levels(spark):
     df = spark.createDataFrame(
         [(35.0, "COLD CEREAL", 10.0, 2.0), (0.0, "x", 1.0, 2.0), (0.0, "cold cereal", 1.0, 2.0)],

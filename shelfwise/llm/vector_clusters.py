@@ -36,6 +36,8 @@ LARGEST = 1 << 27
 SLACK = 1e-9
 #: Vectors that search the tree together.
 STEP = 4096
+#: Whole numbers are packed as unsigned and high byte first, so that the bytes order like the numbers.
+_SHIFT = 1 << 31
 
 
 @dataclass(frozen=True)
@@ -132,19 +134,19 @@ def whole_vectors(column: pa.Array, dims: int, scale: int) -> tuple[np.ndarray,
 
 
 def _whole(dims: int, scale: int):
-    """mapInArrow function: (id, vector) to (id, whole), whole numbers as the bytes of 32-bit integers."""
+    """mapInArrow function: (id, vector) to (id, whole)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, x = whole_vectors(batch.column(1), dims, scale)
-            packed = pa.array([row.tobytes() for row in x.astype("<i4")], pa.binary())
+            packed = pa.array([row.tobytes() for row in (x + _SHIFT).astype(">u4")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), packed], ["id", "whole"])
 
     return run
 
 
-def unpack(column: pa.Array, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, dims).astype(np.int64)
+def unpack(column: list[bytes], dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), ">u4").reshape(-1, dims).astype(np.int64) - _SHIFT
 
 
 def _sums(shared, dims: int):
@@ -155,7 +157,7 @@ def _sums(shared, dims: int):
         n, total = np.zeros(len(tree.point), np.int64), np.zeros((len(tree.point), dims), np.int64)
         for batch in batches:
             for first in range(0, batch.num_rows, STEP):
-                x = unpack(batch.column(0).slice(first, STEP), dims)
+                x = unpack(batch.column(0).slice(first, STEP).to_pylist(), dims)
                 number, _ = tree.nearest(x)
                 n += np.bincount(number, minlength=len(n))
                 np.add.at(total, number, x)
@@ -175,7 +177,7 @@ def _nearest(shared, dims: int):
         for batch in batches:
             for first in range(0, batch.num_rows, STEP):
                 part = batch.slice(first, STEP)
-                number, distance = tree.nearest(unpack(part.column(1), dims))
+                number, distance = tree.nearest(unpack(part.column(1).to_pylist(), dims))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(number, pa.int32()), pa.array(distance, pa.int64())], ["id", "cluster", "distance"]
                 )
@@ -220,7 +222,7 @@ def cluster_vectors(
     whole = scratch.table(rows.mapInArrow(_whole(dims, scale), kind), "whole")
     rank = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256)
     first = whole.where("id IS NOT NULL").select("whole", rank.alias("rank")).orderBy("rank", "whole").limit(k).collect()
-    centroids = np.array([np.frombuffer(r["whole"], "<i4") for r in first], np.int64).reshape(-1, dims)
+    centroids = unpack([r["whole"] for r in first], dims)
     if not len(centroids):
         empty = whole.where("false").select("id", F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"))
         return Clusters(empty, centroids)

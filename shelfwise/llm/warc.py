@@ -10,14 +10,17 @@ payload is the rows after it.  Sums of row sizes give each row its offset in
 the file.
 
 Boundary chains.  A payload may hold what looks like a header.  Each task
-reports every candidate with the offset its Content-Length leads to.  Pointer
-jumping from the start of each file, doubling the jumps, marks the candidates
-that are reached; the others are payload.  The chain must end where the file
-ends, or the archive is reported as broken.
+follows the Content-Length of every candidate of its split to the candidate's
+successor, and on to the first offset beyond the split; it reports candidate
+and exit.  Pointer jumping from the start of each file, doubling the jumps,
+marks the candidates where the chain enters a split.  From there on the records
+of a split follow one another; all other candidates are payload.  The chain
+must end where the file ends, or the archive is reported as broken.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,18 +40,20 @@ END = "\r\n\r\n"
 MAGIC = r"^(?:\r\n)?WARC/1\.[01]\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = "urn:x-page:"
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*([0-9]+)[ \t]*(?:\r\n|$)", re.IGNORECASE)
 
 
 # --- writing
 
 
-def revisits(df: DataFrame, id_col: str, url_col: str, payload_col: str, least: int = REVISIT_BYTES) -> DataFrame:
+def revisits(df: DataFrame, scratch: Scratch, id_col: str, url_col: str, payload_col: str, least: int = REVISIT_BYTES) -> DataFrame:
     """(id, url, payload, revisit, refers_to) of every row of ``df``; a null payload is empty.
 
     Of rows with equal payloads of ``least`` bytes or more, those with the
     largest id are responses, the others revisit it (rows that repeat that id
     are all responses).  A null id is the largest only among nulls.  Payloads
-    are told apart by sha256; only those that occur twice are joined back.
+    are told apart by sha256; those that occur twice are written, so that Spark
+    knows how many there are before it joins them back.
     """
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"))
@@ -56,7 +61,7 @@ def revisits(df: DataFrame, id_col: str, url_col: str, payload_col: str, least:
     alone = F.hex(F.xxhash64("id", "url", "payload"))
     key = F.when(F.octet_length("payload") >= least, F.sha2(F.col("payload").cast("binary"), 256)).otherwise(alone)
     heads = rows.where(F.octet_length("payload") >= least).groupBy(key.alias("same")).agg(F.max("id").alias("head"), F.count(F.lit(1)).alias("n"))
-    heads = heads.where("n > 1").select("same", "head")
+    heads = scratch.table(heads.where("n > 1").select("same", "head"), "heads")
     joined = rows.withColumn("key", key).join(heads, F.col("key") == F.col("same"), "left")
     revisit = F.col("same").isNotNull() & ~F.col("head").eqNullSafe(F.col("id"))
     return joined.select("id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("head")).alias("refers_to"))
@@ -96,6 +101,7 @@ def record_text(revisit: Column, date: str = DATE) -> Column:
 def write_archives(
     df: DataFrame,
     path: str,
+    scratch: Scratch,
     id_col: str = "page_id",
     url_col: str = "url",
     payload_col: str = "html",
@@ -110,7 +116,7 @@ def write_archives(
     a null id by nothing; a null url has no Target-URI, line breaks in urls are
     percent-encoded.  An empty table has no archive with a record.
     """
-    rows = revisits(df, id_col, url_col, payload_col, least)
+    rows = revisits(df, scratch, id_col, url_col, payload_col, least)
     text = record_text(F.col("revisit"), date)
     rows.select(text.alias("value")).write.mode("overwrite").option("lineSep", END).text(path)
 
@@ -118,37 +124,131 @@ def write_archives(
 # --- reading
 
 
-def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds ``offset``, bytes of the rows before in the same split; reads (file, block, size, ...) in the scan's order."""
-    last, total = None, 0
+def _cut(batches: Iterator[pa.RecordBatch], extra: int) -> Iterator[tuple]:
+    """(split, rows) with the rows of one split in a batch; a split's key is file and block, its rows the other columns."""
     for batch in batches:
         if not batch.num_rows:
             continue
         names = batch.column("file").dictionary_encode()
         file = names.indices.to_numpy(zero_copy_only=False)
         block = batch.column("block").to_numpy(zero_copy_only=False)
-        size = batch.column("size").to_numpy(zero_copy_only=False).astype(np.int64)
-        before = np.cumsum(size) - size
         new = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
-        begins = np.concatenate(([0], new))
-        offset = before - np.repeat(before[begins], np.diff(np.append(begins, len(size))))
-        same = (names.dictionary[int(file[0])].as_py(), int(block[0])) == last
-        offset[: new[0] if len(new) else len(size)] += total if same else 0
-        last, total = (names.dictionary[int(file[-1])].as_py(), int(block[-1])), int(offset[-1] + size[-1])
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(offset, pa.int64())], [*batch.schema.names, "offset"])
+        for lo, hi in zip([0, *new], [*new, len(file)], strict=True):
+            yield (names.dictionary[int(file[lo])].as_py(), int(block[lo])), [c.slice(lo, hi - lo) for c in batch.columns[extra:]]
 
 
-def _rows(spark: SparkSession, path: str, **more: Column) -> DataFrame:
-    """(file, block, file_size, size, ..., offset): the archives cut at two line breaks, each row's offset in its split."""
+def _content_length(head: bytes) -> int | None:
+    found = _LENGTH.search(head)
+    return int(found[1]) if found and len(found[1]) < 19 else None
+
+
+def exits(candidates: list[tuple[int, int, int | None]], size: int) -> list[tuple]:
+    """(at, exit, last_at, last_start, last_stop) of each candidate (at, start, length) of a split of ``size`` bytes.
+
+    The exit is the first offset at or beyond the split's end that the chain
+    from the candidate leads to, ``last`` the record it leaves the split with;
+    all null where the chain meets no candidate.  Offsets count from the split.
+    No record begins in the last four bytes; the last row of a file may count
+    four bytes too many.
+    """
+    known: dict[int, tuple] = {}
+    for at, start, length in sorted(candidates, reverse=True):
+        if length is None:
+            known[at] = (None,) * 4
+        elif (following := start + length + len(END)) >= size - len(END):
+            known[at] = (following, at, start, start + length)
+        else:
+            known[at] = known.get(following, (None,) * 4)
+    return [(at, *known[at]) for at in sorted(known)]
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, block, file_size, size, head) in the scan's order to a row per candidate and one (bytes) per split."""
+    names = ["file", "block", "file_size", "bytes", "at", "exit", "last_at", "last_start", "last_stop"]
+    split, file_size, offset, found = None, 0, 0, []
+
+    def done() -> pa.RecordBatch:
+        rows = [(*split, file_size, offset, *[None] * 5), *[(*split, file_size, None, *row) for row in exits(found, offset)]]
+        columns = list(zip(*rows, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names)
+
+    for key, (total, size, head) in _cut(batches, 2):
+        if key != split:
+            if split is not None:
+                yield done()
+            split, file_size, offset, found = key, total[0].as_py(), 0, []
+        for n, text in zip(size.to_pylist(), head.to_pylist(), strict=True):
+            if text is not None:
+                skip = 2 if text.startswith(b"\r\n") else 0
+                length = _content_length(text)
+                found.append((offset + skip, offset + len(text) + len(END), length))
+            offset += n
+    if split is not None:
+        yield done()
+
+
+def _walk(partial: bool):
+    """mapInArrow function: rows of splits, in order, to the records in them.
+
+    Reads (file, block, part, base, due, open_at, open_stop): the split's first
+    offset, the record that begins first in it, and the one that goes on in it.
+    Gives (file, at, head, offset, bytes): whole records, or, if ``partial``,
+    the pieces of those that lie in several splits, of which only the first has
+    the header.
+    """
+    names = ["file", "at", "head", "offset", "bytes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        split = due = record = None
+        at = 0
+
+        def put(whole: bool) -> None:
+            nonlocal held
+            if whole != partial:
+                data = b"".join(record["pieces"])
+                out.append((split[0], record["at"], record["head"], record["from"], data))
+                held += len(data)
+
+        def batch_of(rows: list) -> pa.RecordBatch:
+            kinds = [pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+        for key, (parts, base, first, open_at, open_stop) in _cut(batches, 2):
+            if key != split:
+                if record is not None:
+                    put(False)
+                split, at, due, record = key, base[0].as_py(), first[0].as_py(), None
+                if open_at[0].as_py() is not None and open_stop[0].as_py() > at:
+                    record = {"at": open_at[0].as_py(), "stop": open_stop[0].as_py(), "head": None, "from": at, "pieces": []}
+            for part in parts.to_pylist():
+                size = len(part) + len(END)
+                if record is not None:
+                    record["pieces"].append((part + END.encode())[: record["stop"] - at])
+                elif due is not None and at <= due < at + size:
+                    head = part[due - at :]
+                    start = due + len(head) + len(END)
+                    record = {"at": due, "stop": start + _content_length(head), "head": head, "from": start, "pieces": []}
+                at += size
+                if record is not None and at >= record["stop"]:
+                    put(record["head"] is not None)
+                    due, record = record["stop"] + len(END), None
+                if len(out) >= 512 or held > 1 << 22:
+                    yield batch_of(out)
+                    out, held = [], 0
+        if record is not None:
+            put(False)
+        if out:
+            yield batch_of(out)
+
+    return run
+
+
+def _lines_of(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, file_size, value): the archives cut at two line breaks, with the split that each row was read in."""
     lines = spark.read.option("lineSep", END).text(path)
-    lines = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_size").alias("file_size"),
-        (F.octet_length("value") + len(END)).cast("long").alias("size"),
-        *[column.alias(name) for name, column in more.items()],
-    )
-    return lines.mapInArrow(_offsets, T.StructType([*lines.schema, T.StructField("offset", T.LongType())]))
+    meta = {"file": "file_path", "block": "file_block_start", "file_size": "file_size"}
+    return lines.select(*[F.col(f"_metadata.{name}").alias(alias) for alias, name in meta.items()], "value")
 
 
 def reached(links: DataFrame, scratch: Scratch, rounds: int = 64) -> DataFrame:
@@ -173,66 +273,70 @@ def reached(links: DataFrame, scratch: Scratch, rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"chains did not end in {rounds} rounds")
 
 
-def _field(head: Column, name: str) -> Column:
-    """Value of a header line, null if there is none."""
-    return F.nullif(F.regexp_extract(head, rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
-
+def splits_of(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
+    """(file, block, base, due, open_at, open_stop) of every split of the archives below ``path``.
 
-def records(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
-    """(file, at, head, start, length, block, file_size): the records of the archives, by boundary chains.
-
-    ``head`` is the header's text, ``start`` and ``length`` say where the block
-    lies.  Fails if the chain of an archive does not end at its last byte.
+    ``due`` is where the first record of the split begins, ``open`` the record
+    that an earlier split leaves with.  Fails if the records of an archive do
+    not end at its last byte.
     """
-    magic = F.col("value").rlike(MAGIC)
-    marks = scratch.table(_rows(spark, path, head=F.when(magic, F.col("value"))), "marks")
+    lines = _lines_of(spark, path)
+    head = F.when(F.col("value").rlike(MAGIC), F.col("value").cast("binary"))
+    size = (F.octet_length("value") + len(END)).cast("long")
+    long = [T.StructField(n, T.LongType()) for n in ("block", "file_size", "bytes", "at", "exit", "last_at", "last_start", "last_stop")]
+    marks = lines.select("file", "block", "file_size", size.alias("size"), head.alias("head"))
+    marks = scratch.table(marks.mapInArrow(_mark, T.StructType([T.StructField("file", T.StringType()), *long])), "marks")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = marks.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
-    splits = splits.select("file", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
-    splits = scratch.table(splits, "splits")
-    bare = F.regexp_replace("head", r"^\r\n", "")
-    found = marks.where("head IS NOT NULL").join(splits, ["file", "block"]).select(
-        "file",
-        (F.col("base") + F.col("offset") + F.octet_length("head") - F.octet_length(bare)).alias("at"),
-        bare.alias("head"),
-        _field(bare, "Content-Length").try_cast("long").alias("length"),
-        "file_size",
+    splits = marks.where("bytes IS NOT NULL").select(
+        "file", "block", "file_size", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")
     )
-    start = F.col("at") + F.octet_length("head") + len(END)
-    found = found.withColumn("start", start).withColumn("next", F.col("start") + F.col("length") + len(END))
+    splits = scratch.table(splits, "bases")
+    found = marks.where("bytes IS NULL").drop("file_size", "bytes", "last_start").join(splits, ["file", "block"])
+    found = found.select("file", "block", *[(F.col("base") + F.col(c)).alias(c) for c in ("at", "exit", "last_at", "last_stop")])
     found = scratch.table(found, "candidates")
-    chain = scratch.table(found.join(reached(found.select("file", "at", "next"), scratch), ["file", "at"]), "records")
-    ends = chain.groupBy("file").agg(F.max("next").alias("end"))
-    files = marks.select("file", "file_size").distinct().join(ends, "file", "left")
-    broken = files.where(~F.col("end").eqNullSafe(F.col("file_size"))).limit(3).collect()
+    entered = reached(found.select("file", "at", F.col("exit").alias("next")), scratch)
+    entered = scratch.table(found.join(entered, ["file", "at"]), "entered")
+    ends = entered.groupBy("file").agg(F.max("exit").alias("end"), F.count(F.when(F.col("exit").isNull(), 1)).alias("lost"))
+    files = splits.groupBy("file").agg(F.max("file_size").alias("file_size")).join(ends, "file", "left")
+    broken = files.where(~F.col("end").eqNullSafe(F.col("file_size")) | (F.col("lost") > 0)).limit(3).collect()
     if broken:
         raise ValueError(f"archives whose records do not end at their last byte: {[tuple(r) for r in broken]}")
-    return chain.select("file", "at", "head", "start", "length")
+    last = lambda c: F.last(c, ignorenulls=True).over(before)
+    joined = splits.join(entered.select("file", "block", F.col("at").alias("due"), "last_at", "last_stop"), ["file", "block"], "left")
+    joined = joined.select("file", "block", "base", "due", last("last_at").alias("open_at"), last("last_stop").alias("open_stop"))
+    return scratch.table(joined, "splits")
+
+
+#: Splits whose few numbers are broadcast (about 15 MB); with more of them the rows are shuffled by split.
+BROADCAST_SPLITS = 100_000
 
 
 def read_archives(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     """(file, at, record_type, record_id, refers_to, url, digest, http, payload) of every record below ``path``.
 
     ``digest`` is the header's, ``payload`` the block, for HTTP messages
-    without their header, which is ``http``.  A task sorts the rows of one
-    archive.  Archives are uncompressed.
+    without their header, which is ``http``.  Records are put together in the
+    task that reads them; only those across the border of two splits are
+    shuffled.  Archives are uncompressed.
     """
-    chain = records(spark, path, scratch)
-    splits = spark.read.parquet(f"{scratch.root}/splits")
-    parts = _rows(spark, path, part=F.col("value").cast("binary")).join(splits, ["file", "block"])
-    parts = parts.select("file", (F.col("base") + F.col("offset")).alias("at"), "part", F.lit(None).cast("string").alias("head"),
-                         F.lit(None).cast("struct<at:long,start:long,stop:long>").alias("of"))
-    heads = chain.select("file", "at", F.lit(None).cast("binary").alias("part"), "head",
-                         F.struct("at", "start", (F.col("start") + F.col("length")).alias("stop")).alias("of"))
-    order = Window.partitionBy("file").orderBy("at", F.col("of").isNull())
-    rows = heads.union(parts).withColumn("of", F.last("of", ignorenulls=True).over(order))
-    rows = rows.where(F.col("head").isNotNull() | ((F.col("at") >= F.col("of.start")) & (F.col("at") < F.col("of.stop"))))
-    blocks = rows.groupBy("file", F.col("of").alias("of")).agg(
-        F.max("head").alias("head"), F.array_sort(F.collect_list(F.when(F.col("part").isNotNull(), F.struct("at", "part")))).alias("parts")
+    splits = splits_of(spark, path, scratch)
+    few = splits.count() <= BROADCAST_SPLITS
+    kind = "file string, at long, head binary, offset long, bytes binary"
+
+    def walked(partial: bool) -> DataFrame:
+        lines = _lines_of(spark, path).select("file", "block", F.col("value").cast("binary").alias("part"), F.monotonically_increasing_id().alias("_row"))
+        if few:  # a broadcast join keeps the order of the scan
+            rows = lines.join(F.broadcast(splits), ["file", "block"])
+        else:
+            rows = lines.join(splits, ["file", "block"]).repartition("file", "block").sortWithinPartitions("file", "block", "_row")
+        return rows.select("file", "block", "part", "base", "due", "open_at", "open_stop").mapInArrow(_walk(partial), kind)
+
+    pieces = walked(True).groupBy("file", "at").agg(
+        F.max("head").alias("head"), F.array_sort(F.collect_list(F.struct("offset", "bytes"))).alias("pieces")
     )
-    whole = F.concat(F.array_join(F.transform("parts", lambda p: p["part"].cast("string")), END), F.lit(END)).cast("binary")
-    length = (F.col("of.stop") - F.col("of.start")).cast("int")
-    blocks = blocks.select("file", F.col("of.at").alias("at"), "head", F.substring(whole, F.lit(1), length).alias("block"))
+    joined = F.array_join(F.transform("pieces", lambda p: p["bytes"].cast("string")), "").cast("binary")
+    blocks = walked(False).select("file", "at", "head", F.col("bytes").alias("block"))
+    blocks = blocks.union(pieces.select("file", "at", "head", joined)).withColumn("head", F.col("head").cast("string"))
     is_http = F.coalesce(_field(F.col("head"), "Content-Type"), F.lit("")).startswith("application/http")
     blocks = blocks.withColumn("http", F.when(is_http, F.substring_index(F.col("block").cast("string"), END, 1)))
     skip = F.coalesce(F.octet_length("http") + len(END), F.lit(0))
@@ -249,6 +353,11 @@ def read_archives(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame
     )
 
 
+def _field(head: Column, name: str) -> Column:
+    """Value of a header line, null if there is none."""
+    return F.nullif(F.regexp_extract(head, rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
+
+
 def id_of(name: Column, kind: str) -> Column:
     """The id in a record's name."""
     return F.nullif(F.url_decode(F.regexp_extract(name, rf"^<{_ID}(.*)>$", 1)), F.lit("")).cast(kind)
@@ -269,7 +378,7 @@ def op13_warc_boundary_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back; what a revisit stands for is in its headers."""
     scratch = Scratch(spark, "warc")
     pages = read(spark, sf_dir, "pages")
-    write_archives(pages, f"{scratch.root}/archives")
+    write_archives(pages, f"{scratch.root}/archives", scratch)
     back = read_archives(spark, f"{scratch.root}/archives", scratch)
     kind = pages.schema["page_id"].dataType.simpleString()
     stored = F.col("record_type") == "response"

@@ -1,10 +1,14 @@
 """URL filter: listed rules first, gradient-boosted trees for the rest.
 
 The trees see lexical features only: lengths, depth, digits, hyphens, entropy
-of the host, parameters, and how often training URLs with the same host suffix
-(one, two, three labels) were to be blocked.  They are trained on a bounded
-sample of labelled URLs.  Parsing, features, statistics and scores are
-DataFrame functions and Spark ML; no Python runs on the executors.
+of the host, parameters, and how many hosts of the table share the host's last
+two labels.  No feature names a host or counts labels of a host, so a host
+cannot be learnt by heart.  They are trained on a bounded sample of labelled
+URLs: hosts with a marked part are to be blocked, URLs that a rule allows are
+not; all others have no label and are left out.  Rules that block say where a
+page lies, not how its host is spelt, so they teach nothing here.  Parsing,
+features, statistics and scores are DataFrame functions and Spark ML; no Python
+runs on the executors.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Scratch, hash32, read
+from shelfwise.llm.common import Scratch, packed, read, unpacked
 from shelfwise.llm.registry import query
 
 # Verdict and rule (host, then path).
@@ -26,9 +30,6 @@ MARKED = ("ad", "ads", "advert", "bet", "bets", "casino", "malware", "phish", "p
 #: Labelled URLs the trees are fit on, about, at most.
 TRAIN_ROWS = 20_000
 ROUNDS, DEPTH, SEED = 20, 4, 7
-#: Weight of the overall rate in a suffix's rate.
-PRIOR_ROWS = 5.0
-FOLDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -72,28 +73,31 @@ def entropy(text: Column) -> Column:
 
 LEXICAL = (
     "url_chars", "host_chars", "path_chars", "depth", "labels", "hyphens", "host_digits", "digits", "entropy",
-    "parameters", "fragment", "secure", "vowels", "longest_label",
+    "parameters", "fragment", "secure", "vowels", "longest_label", "suffix_hosts",
 )
-SUFFIXES = ("suffix1", "suffix2", "suffix3")
 
 
-def features(df: DataFrame, url_col: str = "url") -> DataFrame:
-    """Adds host, path, lexical features and host suffixes; a null url has the features of an empty one."""
+def features(rows: DataFrame, scratch: Scratch, url_col: str = "url") -> DataFrame:
+    """``rows`` with host, path and the features; a null url has the features of an empty one.
+
+    ``rows`` should come from :func:`packed`, as the names of the new columns
+    are common words.  ``suffix_hosts`` is the binary logarithm, rounded down,
+    of one more than the hosts that share the last two labels, over all rows.
+    """
     url = F.coalesce(F.col(url_col), F.lit(""))
     host, path = F.col("host"), F.col("path")
     count = lambda text, pattern: F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("double")
     share = lambda text, pattern: count(text, pattern) / F.greatest(F.char_length(text), F.lit(1))
-    last = lambda n: F.concat_ws(".", F.slice(F.col("_labels"), -F.least(F.size("_labels"), F.lit(n)), n))
-    return (
-        df.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
-        .withColumn("_labels", F.split(host, r"\."))
+    parts = F.split(host, r"\.")
+    own = (
+        rows.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
         .withColumns(
             {
                 "url_chars": F.char_length(url).cast("double"),
                 "host_chars": F.char_length(host).cast("double"),
                 "path_chars": F.char_length(path).cast("double"),
                 "depth": count(path, "/[^/]"),
-                "labels": F.size("_labels").cast("double"),
+                "labels": F.size(parts).cast("double"),
                 "hyphens": count(host, "-"),
                 "host_digits": share(host, "[0-9]"),
                 "digits": share(url, "[0-9]"),
@@ -102,98 +106,83 @@ def features(df: DataFrame, url_col: str = "url") -> DataFrame:
                 "fragment": url.contains("#").cast("double"),
                 "secure": F.lower(url).startswith("https:").cast("double"),
                 "vowels": share(host, "[aeiou]"),
-                "longest_label": F.array_max(F.transform("_labels", lambda x: F.char_length(x))).cast("double"),
-                "suffix1": last(1),
-                "suffix2": last(2),
-                "suffix3": last(3),
+                "longest_label": F.array_max(F.transform(parts, lambda x: F.char_length(x))).cast("double"),
+                "suffix": F.concat_ws(".", F.slice(parts, -F.least(F.size(parts), F.lit(2)), 2)),
             }
         )
-        .drop("_labels")
     )
+    hosts = own.select("suffix", "host").distinct().groupBy("suffix").agg(F.count(F.lit(1)).alias("_hosts"))
+    hosts = scratch.table(hosts.select("suffix", F.floor(F.log2(F.col("_hosts") + 1)).cast("double").alias("suffix_hosts")), "hosts")
+    return own.join(hosts, "suffix")
 
 
-def weak_label(host: Column) -> Column:
-    """1 for hosts with a marked part, else 0: labels for training where no better ones are at hand."""
-    return F.exists(F.split(host, "[.-]"), lambda part: part.isin(*MARKED)).cast("double")
+def weak_label(host: Column, verdict: Column, marked=MARKED) -> Column:
+    """1 for hosts with a marked part, 0 for other URLs that a rule allows, else null."""
+    is_marked = F.exists(F.split(host, "[.-]"), lambda part: part.isin(*marked))
+    return F.when(is_marked, 1.0).when(verdict == "allow", 0.0)
 
 
 class UrlModel:
-    """Trees and suffix rates; ``fit`` takes rows of ``features`` with a label column (1: block)."""
+    """Boosted trees over ``LEXICAL``; without both classes in training, a score of 0 for every URL."""
 
-    def __init__(self, prior: float, rates: dict[str, DataFrame], trees):
-        self.prior, self.rates, self.trees = prior, rates, trees
+    def __init__(self, trees=None):
+        self.trees = trees
 
     @staticmethod
     def fit(labelled: DataFrame, scratch: Scratch, label: str = "label", most: int = TRAIN_ROWS) -> UrlModel:
-        """Fit on all labelled rows, or on a share by hash of the host and path that keeps about ``most``.
+        """Fit on the rows of ``features`` with a label, or on a share of either class by hash of host and path.
 
-        A row's suffix rates in training come from the other folds, so that no
-        row sees its own label.  With one class only, or no rows, the model is
-        the constant rate.
+        Each class keeps about half of ``most`` rows; its rows weigh as much
+        together as those of the other.
         """
-        n = labelled.count()
-        chosen = labelled.where(F.hash(F.lit(SEED), "host", "path").cast("double") + 2147483648.0 < most / max(n, 1) * 4294967296.0)
-        sample = scratch.table(
-            chosen.withColumn("_fold", F.pmod(F.xxhash64("host", "path"), F.lit(FOLDS))).select(
-                *LEXICAL, *SUFFIXES, "_fold", F.col(label).cast("double").alias("label")
-            ),
-            "urls",
-        )
-        rows, blocked = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
-        prior = blocked / rows if rows else 0.0
-        rates = {}
-        trained = sample
-        for suffix in SUFFIXES:
-            # At most one row per sampled URL: the bound of the sample holds for these tables too.
-            per_fold = sample.groupBy(suffix, "_fold").agg(F.count(F.lit(1)).alias("_n"), F.sum("label").alias("_b"))
-            total = per_fold.groupBy(suffix).agg(F.sum("_n").alias("_all_n"), F.sum("_b").alias("_all_b"))
-            rates[suffix] = scratch.table(total.select(suffix, _rate("_all_b", "_all_n", prior).alias(f"{suffix}_rate")), suffix)
-            others = per_fold.join(total, suffix).select(
-                suffix,
-                "_fold",
-                _rate(F.col("_all_b") - F.col("_b"), F.col("_all_n") - F.col("_n"), prior).alias(f"{suffix}_rate"),
-            )
-            trained = trained.join(F.broadcast(others), [suffix, "_fold"])
-        if not 0.0 < prior < 1.0:
-            return UrlModel(prior, rates, None)
+        rows = labelled.where(F.col(label).isNotNull())
+        sizes = {r["label"]: r["n"] for r in rows.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if len(sizes) < 2:
+            return UrlModel()
+        spot = (F.hash(F.lit(SEED), "host", "path").cast("double") + 2147483648.0) / 4294967296.0
+        limits = [(value, min(1.0, most / 2 / n), 0.5 / min(n, most / 2)) for value, n in sizes.items()]
+        share = F.coalesce(*[F.when(F.col(label) == value, F.lit(part)) for value, part, _ in limits])
+        weight = F.coalesce(*[F.when(F.col(label) == value, F.lit(w)) for value, _, w in limits])
+        sample = rows.where(spot < share).select(*LEXICAL, F.col(label).alias("label"), weight.alias("weight"))
         trees = GBTClassifier(
-            featuresCol="_features", labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=SEED
-        ).fit(_vector(scratch.table(trained, "trained")))
-        return UrlModel(prior, rates, trees)
+            featuresCol="_features", labelCol="label", weightCol="weight", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=SEED
+        )
+        return UrlModel(trees.fit(_vector(scratch.table(sample, "trained"))))
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
         """``df`` (rows of ``features``) with the probability that the URL is to be blocked."""
         if self.trees is None:
-            return df.withColumn(out, F.lit(self.prior))
-        rated = df
-        for suffix, table in self.rates.items():
-            rated = rated.join(F.broadcast(table), suffix, "left")
-        filled = rated.fillna(self.prior, [f"{s}_rate" for s in SUFFIXES])
-        scored = self.trees.transform(_vector(filled))
+            return df.withColumn(out, F.lit(0.0))
+        scored = self.trees.transform(_vector(df))
         return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 
 
-def _rate(blocked, rows, prior: float) -> Column:
-    blocked, rows = (F.col(x) if isinstance(x, str) else x for x in (blocked, rows))
-    return (blocked + F.lit(PRIOR_ROWS * prior)) / (rows + F.lit(PRIOR_ROWS))
-
-
 def _vector(df: DataFrame) -> DataFrame:
-    columns = [*LEXICAL, *(f"{s}_rate" for s in SUFFIXES)]
-    return VectorAssembler(inputCols=columns, outputCol="_features").transform(df)
+    return VectorAssembler(inputCols=list(LEXICAL), outputCol="_features").transform(df)
+
 
+def judge(df: DataFrame, scratch: Scratch, url_col: str = "url", rules=RULES, marked=MARKED, model: UrlModel | None = None) -> DataFrame:
+    """``df`` with host, path, rule, score and verdict: the longest rule's, else block from a score of 0.5 on.
 
-def judge(df: DataFrame, model: UrlModel, rules=RULES) -> DataFrame:
-    """Rows of ``features`` with score, rule and verdict: the longest rule's, else block from a score of 0.5 on."""
+    They take the place of input columns of the same names.  The trees are
+    trained on the table's own labelled URLs unless a model is given.  Null and
+    odd URLs have an empty host and path; repeats repeat their result, an empty
+    table gives none.
+    """
+    rows = features(packed(df, url=F.col(f"`{url_col}`")), scratch)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    scored = model.score(df).withColumn("rule", rule)
+    rows = rows.withColumns({"rule": rule, "ruled": verdict})
+    if model is None:
+        model = UrlModel.fit(rows.withColumn("label", weak_label(F.col("host"), F.col("ruled"), marked)), scratch)
     trees = F.when(F.col("score") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
-    return scored.withColumn("verdict", F.coalesce(verdict, trees))
+    names = ("host", "path", "rule", "score")
+    return model.score(rows).select(
+        *unpacked(df.columns, **{n: F.col(n) for n in names}, verdict=F.coalesce(F.col("ruled"), trees))
+    )
 
 
 @query("op9_url_filter")
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL; trees are trained on weakly labelled URLs of the table."""
-    pages = features(read(spark, sf_dir, "pages").select("page_id", "url"))
-    model = UrlModel.fit(pages.withColumn("label", weak_label(F.col("host"))), Scratch(spark, "urls"))
-    return judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
+    """Verdict on every page's URL."""
+    found = judge(read(spark, sf_dir, "pages").select("page_id", "url"), Scratch(spark, "urls"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")

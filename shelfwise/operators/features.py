@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import labels
 from shelfwise.functions.expr import dbl, flag, half_up, pct, ratio, season
 from shelfwise.operators.star import Star
+from shelfwise.operators.trend import calendar_lag, calendar_series
 
 SERIES = ("store_num", "upc")
 WEEK = "week_end_date"
@@ -88,17 +89,28 @@ def time_features(df: DataFrame, week: str = WEEK) -> DataFrame:
 
 
 def history_features(
-    df: DataFrame, keys: Sequence[str] = SERIES, order: str = WEEK, value: str = TARGET, fill: bool = True
+    df: DataFrame,
+    keys: Sequence[str] = SERIES,
+    order: str = WEEK,
+    value: str = TARGET,
+    fill: bool = True,
+    calendar: bool = False,
 ) -> DataFrame:
     """Lags and rolling figures of the rows before the current one.
 
     No frame reaches the current row, so nothing of the target leaks.  One
-    series holds at most one row per week.
+    series holds at most one row per week.  Lags and frames count rows; with
+    ``calendar`` they count weeks, and a week without a row has no value.
     """
-    w = Window.partitionBy(*keys).orderBy(order)
     x = dbl(value)
-    last4, last8 = w.rowsBetween(-4, -1), w.rowsBetween(-8, -1)
-    cols = {f"sales_last_{n}_week": F.lag(x, n).over(w) for n in LAGS}
+    if calendar:
+        w = calendar_series(order, keys)
+        last4, last8 = w.rangeBetween(-4, -1), w.rangeBetween(-8, -1)
+        cols = {f"sales_last_{n}_week": calendar_lag(x, w, n) for n in LAGS}
+    else:
+        w = Window.partitionBy(*keys).orderBy(order)
+        last4, last8 = w.rowsBetween(-4, -1), w.rowsBetween(-8, -1)
+        cols = {f"sales_last_{n}_week": F.lag(x, n).over(w) for n in LAGS}
     cols["rolling_mean_4w"] = half_up(F.avg(x).over(last4), 6)
     cols["rolling_std_4w"] = half_up(F.stddev_samp(x).over(last4), 6)
     cols["moving_avg_8w"] = half_up(F.avg(x).over(last8), 6)

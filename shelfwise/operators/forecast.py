@@ -48,6 +48,59 @@ def seasonal_naive(weekly: DataFrame, keys: Sequence[str], value: str, season: i
     )
 
 
+#: Weights of level, trend and season that the smoothing chooses from, in this order.
+SMOOTHING = tuple((a, b, c) for a in (0.1, 0.3, 0.5) for b in (0.0, 0.1) for c in (0.1, 0.3))
+
+
+def seasonal_smoothing(
+    weekly: DataFrame, keys: Sequence[str], value: str, season: int = 52, weights: Sequence[tuple] = SMOOTHING
+) -> DataFrame:
+    """Level, trend and season that follow each series with its own weights.
+
+    An additive state-space model: after each week its error moves the level
+    by a, the trend by a * b and the week's season by c * (1 - a) of it.  The
+    first season gives the starting level and seasons; the trend starts at 0.
+    The state is folded along an array of the series' train rows, once per
+    weights; those with the smallest squared error on the train rows after the
+    first season forecast the holdout (the earlier ones of equal errors).
+    Series with less than two seasons of train rows are left out.
+    """
+    marked = mark_holdout(weekly, keys).withColumn("_x", F.col(value).cast("double"))
+    point = F.struct(F.col(WEEK), F.col("_x"))
+    rows = marked.groupBy(*keys).agg(
+        F.transform(F.sort_array(F.collect_list(F.when(~F.col("is_test"), point))), lambda p: p["_x"]).alias("_y"),
+        F.sort_array(F.collect_list(F.when(F.col("is_test"), point))).alias("_held"),
+    ).where(F.size("_y") >= 2 * season)
+    grid = F.array(*[F.struct(F.lit(i).alias("no"), *[F.lit(float(w)).alias(n) for n, w in zip("abc", ws)]) for i, ws in enumerate(weights)])
+    first = F.slice("_y", 1, season)
+    level = F.aggregate(first, F.lit(0.0), lambda s, y: s + y) / season
+    tried = rows.withColumn("_level", level).select(
+        *keys, "_y", "_held", "_level", F.transform(first, lambda y: y - F.col("_level")).alias("_season"), F.explode(grid).alias("_w")
+    )
+    start = F.struct(
+        F.col("_level").alias("l"), F.lit(0.0).alias("t"), F.col("_season").alias("s"), F.lit(0.0).alias("sse"), F.lit(0).alias("i")
+    )
+    w = F.col("_w")
+
+    def step(state, y):
+        at = state["i"] % season
+        error = y - (state["l"] + state["t"] + F.get(state["s"], at))
+        return F.struct(
+            (state["l"] + state["t"] + w["a"] * error).alias("l"),
+            (state["t"] + w["a"] * w["b"] * error).alias("t"),
+            F.transform(state["s"], lambda x, k: F.when(k == at, x + w["c"] * (1 - w["a"]) * error).otherwise(x)).alias("s"),
+            (state["sse"] + error * error).alias("sse"),
+            (state["i"] + 1).alias("i"),
+        )
+
+    rest = F.slice(F.col("_y"), F.lit(season + 1), F.size("_y") - season)
+    fitted = tried.withColumn("_f", F.aggregate(rest, start, step))
+    best = fitted.groupBy(*keys).agg(F.min_by(F.struct("_f", "_held"), F.struct("_f.sse", "_w.no")).alias("_b"))
+    ahead = best.select(*keys, F.col("_b._f").alias("_f"), F.posexplode("_b._held").alias("_h", "_p"))
+    prediction = F.col("_f.l") + (F.col("_h") + 1) * F.col("_f.t") + F.get(F.col("_f.s"), (F.col("_f.i") + F.col("_h")) % season)
+    return ahead.select(*keys, F.col("_p")[WEEK].alias(WEEK), F.col("_p._x").alias("actual"), half_up(prediction, 4).alias("prediction"))
+
+
 def fourier_columns(df: DataFrame, origin, harmonics: int = 3, season: float = 365.25 / 7) -> tuple[DataFrame, list[str]]:
     """Trend and sine/cosine pairs of the yearly cycle."""
     step = F.datediff(F.col(WEEK), F.lit(origin)) / 7

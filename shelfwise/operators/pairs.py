@@ -1,9 +1,8 @@
 """Operators that compare two members of the same group.
 
 Inputs are aggregated first, so a group holds at most one row per member of a
-dimension (category, product, store), never raw fact rows.  Each side of the
-equi self-join carries only the columns used, and pairs are summed on the map
-side before they shuffle again.
+dimension (category, product, store), never raw fact rows.  Pairs that meet in
+many store-weeks come from products of store-week vectors (:mod:`gram`).
 """
 
 from __future__ import annotations
@@ -11,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.expr import half_up, mean, pct
+from shelfwise.functions.expr import half_up, mean, pct, ratio
+from shelfwise.operators.gram import correlation, pair_stats
 
 
 def metro_pairs(stores: DataFrame) -> DataFrame:
@@ -29,21 +29,17 @@ def metro_pairs(stores: DataFrame) -> DataFrame:
 def co_occurrence(sales: DataFrame) -> DataFrame:
     """How often two categories sell in the same store-week.
 
-    Pairs come from one row per category and store-week, so a store-week holds
-    as many rows as there are categories, whatever the size of the fact.
+    One row per category and store-week goes in; pairs come from products of
+    store-week vectors, not from a list of pairs per store-week.
     """
     cells = sales.groupBy("date_key", "store_num", "category").agg(F.sum("spend").alias("rev")).filter("rev > 0")
     own = cells.groupBy("category").agg(F.count(F.lit(1)).alias("_own"))
-    left = cells.select("date_key", "store_num", F.col("category").alias("category_a"), F.col("rev").alias("ra"))
-    right = cells.select("date_key", "store_num", F.col("category").alias("category_b"), F.col("rev").alias("rb"))
-    pairs = (
-        left.join(right, ["date_key", "store_num"])
-        .filter("category_a < category_b")
-        .groupBy("category_a", "category_b")
-        .agg(
-            F.count(F.lit(1)).alias("co_occurrence_weeks"),
-            half_up(mean(F.col("ra") + F.col("rb")), 2).alias("avg_combined_weekly_revenue"),
-        )
+    cells = cells.withColumns({"_x": (F.col("rev") * 10_000).cast("long"), "_y": F.lit(0)})
+    pairs = pair_stats(cells, [], ["date_key", "store_num"], "category", "_x", "_y").select(
+        F.col("a").alias("category_a"),
+        F.col("b").alias("category_b"),
+        F.col("n").alias("co_occurrence_weeks"),
+        half_up(ratio((F.col("xa") + F.col("xb")) / 10_000, "n"), 2).alias("avg_combined_weekly_revenue"),
     )
     return (
         pairs.join(own, F.col("category_a") == F.col("category"))
@@ -55,35 +51,26 @@ def co_occurrence(sales: DataFrame) -> DataFrame:
 def price_gap_pairs(sales: DataFrame, min_weeks: int = 10) -> DataFrame:
     """Two products of a category in the same store-week: price gap, who sells
     more, and the correlation of price gap and unit difference."""
-    cells = sales.groupBy("date_key", "store_num", "category", "upc", "description").agg(
+    cells = sales.groupBy("date_key", "store_num", "category", "upc").agg(
         half_up(mean("price"), 4).cast("decimal(18,4)").alias("price"), F.sum("units").alias("units")
     )
-    keys = ["date_key", "store_num", "category"]
-
-    def side(x: str) -> DataFrame:
-        return cells.select(
-            *keys,
-            F.col("upc").alias(f"upc_{x}"),
-            F.col("description").alias(f"product_{x}"),
-            F.col("price").alias(f"price_{x}"),
-            F.col("units").alias(f"units_{x}"),
-        )
-
-    gap = F.col("price_a") - F.col("price_b")
-    diff = F.col("units_a") - F.col("units_b")
+    cells = cells.withColumn("_x", (F.col("price") * 10_000).cast("long"))
+    stats = pair_stats(cells, ["category"], ["date_key", "store_num"], "upc", "_x", "units").filter(F.col("n") > min_weeks)
+    names = sales.select("category", "upc", "description").distinct()
+    name = lambda of, out: names.select("category", F.col("upc").alias(of), F.col("description").alias(out))
     return (
-        side("a")
-        .join(side("b"), keys)
-        .filter("upc_a < upc_b")
-        .groupBy("category", "product_a", "product_b")
-        .agg(
-            F.count(F.lit(1)).alias("weeks_compared"),
-            half_up(mean(gap), 4).alias("avg_price_gap"),
-            half_up(mean("units_a"), 2).alias("avg_units_a"),
-            half_up(mean("units_b"), 2).alias("avg_units_b"),
-            F.count(F.when(diff > 0, 1)).alias("weeks_a_wins"),
-            F.count(F.when(diff < 0, 1)).alias("weeks_b_wins"),
-            half_up(F.corr(gap.cast("double"), diff.cast("double")), 4).alias("gap_unit_correlation"),
+        stats.join(name("a", "product_a"), ["category", "a"])
+        .join(name("b", "product_b"), ["category", "b"])
+        .select(
+            "category",
+            "product_a",
+            "product_b",
+            F.col("n").alias("weeks_compared"),
+            half_up(ratio((F.col("xa") - F.col("xb")) / 10_000, "n"), 4).alias("avg_price_gap"),
+            half_up(ratio("ya", "n"), 2).alias("avg_units_a"),
+            half_up(ratio("yb", "n"), 2).alias("avg_units_b"),
+            F.col("a_wins").alias("weeks_a_wins"),
+            F.col("b_wins").alias("weeks_b_wins"),
+            half_up(correlation(), 4).alias("gap_unit_correlation"),
         )
-        .filter(F.col("weeks_compared") > min_weeks)
     )

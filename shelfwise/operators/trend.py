@@ -47,6 +47,29 @@ def whole(order: Sequence[str] | str, partition: Sequence[str] = ()) -> WindowSp
     return series(order, partition).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
+def week_index(week: str | Column) -> Column:
+    """Whole weeks since the first Saturday of 1970: an axis for frames in weeks, whatever rows are missing."""
+    day = F.col(week) if isinstance(week, str) else week
+    return F.floor(F.datediff(day, F.lit("1970-01-03").cast("date")) / 7).cast("long")
+
+
+def calendar_series(week: str, partition: Sequence[str] = ()) -> WindowSpec:
+    """A series ordered by the number of its week, for RANGE frames; at most one row per week."""
+    return Window.partitionBy(*partition).orderBy(week_index(week))
+
+
+def calendar_lag(value: str | Column, w: WindowSpec, weeks: int = 1) -> Column:
+    """The value exactly ``weeks`` weeks earlier (later if negative); null if that week has no row."""
+    return F.max(value).over(w.rangeBetween(-weeks, -weeks))
+
+
+def calendar_mean(value: str | Column, w: WindowSpec, first: int, last: int = 0, digits: int | None = 2) -> Column:
+    """Mean over the rows of the weeks from ``first`` to ``last``, counted from the current one; null if there are none."""
+    frame = w.rangeBetween(first, last)
+    out = F.sum(value).over(frame).cast("double") / F.nullif(F.count(value).over(frame), F.lit(0))
+    return out if digits is None else half_up(out, digits)
+
+
 def lag_by_weeks(df: DataFrame, week: str, value: str, keys: Sequence[str], weeks: int, name: str) -> DataFrame:
     """Calendar lag: the value exactly ``weeks`` weeks earlier, null when that
     week has no row (a row lag would silently reach further back over gaps)."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.operators.navigate import Navigator
 from shelfwise.operators.star import Star
 from shelfwise.sources import crosswalk, marts
 
@@ -26,6 +27,11 @@ class Context:
     def star(self) -> Star:
         return marts.stored_star(self.spark, self.sf_dir)
 
+    @cached_property
+    def marts(self) -> Navigator:
+        """Answers from the stored marts where they cover a request."""
+        return marts.stored_marts(self.spark, self.sf_dir)
+
     def table(self, name: str) -> DataFrame:
         return crosswalk.table(self.spark, self.sf_dir, name)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import labels
 from shelfwise.functions.expr import choose, half_up
 from shelfwise.operators import promo
-from shelfwise.operators.gaps import zero_filled, zero_weeks
+from shelfwise.operators.gaps import zero_filled, zero_runs, zero_weeks
 from shelfwise.operators.rank import position_desc
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.star import week_spine
@@ -66,6 +66,12 @@ def zero_week_counts(cx: Context):
     )
 
 
+@query("ct4_zero_week_runs")
+def zero_week_runs(cx: Context):
+    """The weeks without sales of every store and product, a row per run of weeks."""
+    return zero_runs(cx.star)
+
+
 @query("ct4_zero_filled_panel")
 def zero_filled_profile(cx: Context):
     """The zero-filled panel per store: every product has every week once."""

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expr import count_where, half_up, mean, pct, sorted_text
-from shelfwise.operators import explore
+from shelfwise.operators import explore, sketches
 from shelfwise.operators.pairs import metro_pairs
 from shelfwise.operators.report import metric_rows, shown
 from shelfwise.operators.rollup import kpi_rollup
@@ -145,6 +145,27 @@ def fact_profile(cx: Context):
     )
 
 
+@query("x12_distinct_by_quarter")
+def distinct_by_quarter(cx: Context):
+    """Products sold per quarter and segment, exact, merged from the bitmaps of weeks and stores."""
+    rows = cx.star.fact.select("date_key", "store_num", "upc").join(sketches.codes(cx.star.product, "upc"), "upc")
+    mart = sketches.bitmap_mart(rows, ["date_key", "store_num"])
+    mart = mart.join(cx.star.calendar.select("date_key", "year", "quarter"), "date_key")
+    mart = mart.join(cx.star.store.select("store_num", "seg_value_name"), "store_num")
+    return sketches.distinct_of_bitmaps(mart, ["year", "quarter", "seg_value_name"], "product_count")
+
+
+PRICE_QUANTILES = {"price": {"median_price": 0.5, "p90_price": 0.9}}
+
+
+@query("x12_sketched_by_year")
+def sketched_by_year(cx: Context):
+    """Products and price quantiles per year, estimated from the sketches of weeks."""
+    mart = sketches.sketch_mart(cx.star.fact, ["date_key"], ["upc"], ["price"])
+    mart = mart.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int"))
+    return sketches.of_sketches(mart, ["year"], ["upc"], PRICE_QUANTILES)
+
+
 @query("x13_promo_distribution")
 def promo_distribution(cx: Context):
     return kpi_rollup(

@@ -44,6 +44,19 @@ def rolling(cx: Context):
     return out.select(*KEY, "rolling_mean_4w", "rolling_std_4w", "moving_avg_8w")
 
 
+@query("fe5_calendar_lags")
+def calendar_lags(cx: Context):
+    """Units of exactly so many weeks earlier; null where the product was not sold that week."""
+    out = fe.history_features(fe.master(cx.star), fill=False, calendar=True)
+    return out.select(*KEY, *[f"sales_last_{n}_week" for n in fe.LAGS])
+
+
+@query("fe6_calendar_rolling")
+def calendar_rolling(cx: Context):
+    out = fe.history_features(fe.master(cx.star), fill=False, calendar=True)
+    return out.select(*KEY, "rolling_mean_4w", "rolling_std_4w", "moving_avg_8w")
+
+
 @query("fe7_filled_history")
 def filled_history(cx: Context):
     out = fe.history_features(fe.master(cx.star))

@@ -31,8 +31,7 @@ def portfolio(cx: Context):
 
 @query("m2_category_kpis")
 def by_category(cx: Context):
-    return kpi_rollup(
-        cx.sales("product"),
+    return cx.marts.rollup(
         ["category"],
         [
             "total_revenue", "total_units", "total_visits", "total_hhs", "avg_basket_value", "avg_price",
@@ -51,7 +50,7 @@ SEGMENT_MEASURES = [
 
 @query("m3_segment_kpis")
 def by_segment(cx: Context):
-    return kpi_rollup(cx.sales("store"), ["seg_value_name"], SEGMENT_MEASURES, REVENUE_SHARE)
+    return cx.marts.rollup(["seg_value_name"], SEGMENT_MEASURES, REVENUE_SHARE)
 
 
 @query("m4_state_kpis")
@@ -60,7 +59,7 @@ def by_state(cx: Context):
         "store_count", "total_revenue", "revenue_per_store", "avg_basket_value", "avg_price",
         "avg_discount_pct", "promo_rate_pct",
     ]
-    return kpi_rollup(cx.sales("store"), ["state"], measures, REVENUE_SHARE, REVENUE_RANK)
+    return cx.marts.rollup(["state"], measures, REVENUE_SHARE, REVENUE_RANK)
 
 
 @query("m5_manufacturer_kpis")
@@ -69,7 +68,7 @@ def by_manufacturer(cx: Context):
         "product_count", "category_count=categories_present", "total_revenue", "total_units", "avg_price",
         "avg_discount_pct", "promo_rate_pct",
     ]
-    return kpi_rollup(cx.sales("product"), ["manufacturer"], measures, REVENUE_SHARE, REVENUE_RANK)
+    return cx.marts.rollup(["manufacturer"], measures, REVENUE_SHARE, REVENUE_RANK)
 
 
 @query("m6_basket_metrics")

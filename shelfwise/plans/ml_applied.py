@@ -53,6 +53,7 @@ def forecast_comparison(cx: Context):
             "Moving Average": ("12 weeks", forecast.moving_average(*args)),
             "Seasonal Naive": ("12 weeks", forecast.seasonal_naive(*args)),
             "Fourier Regression": ("12 weeks", forecast.fourier_regression(*args)),
+            "Seasonal Smoothing": ("12 weeks", forecast.seasonal_smoothing(*args)),
             "Boosted (recursive)": ("12 weeks", forecast.recursive(*args, small)),
             "Boosted (one step)": ("1 week", forecast.one_step(*args, small)),
         }
@@ -64,6 +65,11 @@ def seasonal_naive(cx: Context):
     return forecast.seasonal_naive(weekly_units(cx), CATEGORY, "total_units")
 
 
+@query("ts13_seasonal_smoothing")
+def seasonal_smoothing(cx: Context):
+    return forecast.seasonal_smoothing(weekly_units(cx), CATEGORY, "total_units")
+
+
 @query("ts13_fourier_regression")
 def fourier_regression(cx: Context):
     return forecast.fourier_regression(weekly_units(cx), CATEGORY, "total_units")
@@ -108,6 +114,12 @@ def cluster_by_segment(cx: Context):
     return cluster.cluster_by_segment(clustered(cx))
 
 
+@query("cl6_merged_rows")
+def merged_rows(cx: Context):
+    """Every row of the model table with its store's cluster."""
+    return cluster.merge_clusters(cx.features, clustered(cx)).select(WEEK, "store_num", "upc", "category", "units", "cluster")
+
+
 @query("cl6_rows_with_cluster")
 def rows_with_cluster(cx: Context):
     merged = cluster.merge_clusters(cx.features, clustered(cx))

@@ -25,6 +25,12 @@ Z = """, z AS (SELECT s.store_num::BIGINT AS store_num, p.upc, description, cate
 """
 star("ct4_zero_weeks", Z + """SELECT category, seg_value_name, week_end_date, count(*) AS zero_rows,
   sum(units)::BIGINT AS units, sum(spend) AS spend FROM z GROUP BY 1, 2, 3""")
+star("ct4_zero_week_runs", """, z AS (SELECT s.store_num::BIGINT AS store_num, p.upc, c.week_of_year AS no, c.week_end_date
+  FROM store s CROSS JOIN product p CROSS JOIN calendar c
+  WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.date_key = c.date_key AND f.store_num = s.store_num AND f.upc = p.upc)),
+island AS (SELECT *, no - row_number() OVER (PARTITION BY store_num, upc ORDER BY no) AS run FROM z)
+SELECT store_num, upc, min(week_end_date) AS first_week, max(week_end_date) AS last_week, count(*) AS zero_weeks
+FROM island GROUP BY store_num, upc, run""")
 star("ct4_zero_filled_panel", f""", f AS (SELECT s.store_num::BIGINT AS store_num, x.units FROM store s
   CROSS JOIN product p CROSS JOIN calendar c
   LEFT JOIN fact x ON x.date_key = c.date_key AND x.store_num = s.store_num AND x.upc = p.upc)

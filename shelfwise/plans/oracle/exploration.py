@@ -47,6 +47,8 @@ star("x12_fact_profile", f"""SELECT {m("row_count=total_rows", "week_count=disti
   "product_count=distinct_upcs", "total_revenue", "avg_revenue=avg_spend_per_row", "min_spend", "max_spend",
   "total_units", "avg_units=avg_units_per_row", "promoted_rows", "promo_rate_pct", "avg_price", "avg_base_price",
   "avg_discount_pct:4")} FROM fact""")
+star("x12_distinct_by_quarter", """SELECT year::BIGINT AS year, quarter::BIGINT AS quarter, seg_value_name, count(DISTINCT upc) AS product_count
+  FROM ef GROUP BY 1, 2, 3""")
 star("x13_promo_distribution", f"""SELECT promo_type, {m("row_count", "total_units", "total_revenue",
   "avg_units=avg_units_per_row", "avg_revenue=avg_revenue_per_row", "avg_discount_pct")},
   {share("count(*)")} AS pct_of_rows FROM fact GROUP BY 1""")

@@ -35,6 +35,18 @@ star("fe4_time_features", MASTER + f"""SELECT {_K}, year(week_end_date) AS year,
 star("fe5_lags", MASTER + f"SELECT {_K}, " + ", ".join(f"{lag(k)} AS sales_last_{k}_week" for k in (1, 2, 4, 8)) + " FROM mr")
 star("fe6_rolling", MASTER + f"""SELECT {_K}, {frame("avg", 4)} AS rolling_mean_4w, {STD} AS rolling_std_4w,
   {frame("avg", 8)} AS moving_avg_8w FROM mr""")
+_NO = "datediff('day', DATE '1970-01-03', week_end_date) // 7"
+
+
+def _range(f: str, first: int, last: int) -> str:
+    return (f"{f}(units::DOUBLE) OVER (PARTITION BY mr.store_num, mr.upc ORDER BY {_NO} "
+            f"RANGE BETWEEN {first} PRECEDING AND {last} PRECEDING)")
+
+
+star("fe5_calendar_lags", MASTER + f"SELECT {_K}, " + ", ".join(
+    f"{_range('max', k, k)} AS sales_last_{k}_week" for k in (1, 2, 4, 8)) + " FROM mr")
+star("fe6_calendar_rolling", MASTER + f"""SELECT {_K}, {H(_range("avg", 4, 1), 6)} AS rolling_mean_4w,
+  coalesce({H(_range("stddev_samp", 4, 1), 6)}, 0) AS rolling_std_4w, {H(_range("avg", 8, 1), 6)} AS moving_avg_8w FROM mr""")
 star("fe7_filled_history", MASTER + f"SELECT {_K}, ({lag(1)} IS NOT NULL)::BIGINT AS has_history, " + ", ".join(
     f"coalesce({lag(k)}, 0) AS sales_last_{k}_week" for k in (1, 2, 4, 8))
     + f", coalesce({frame('avg', 4)}, 0) AS rolling_mean_4w FROM mr")

@@ -1,4 +1,5 @@
 from shelfwise.functions import labels as L
+from shelfwise.operators.forecast import SMOOTHING
 from shelfwise.plans.oracle.base import H, STAR, bands, m, mean, oracle, rate, star
 from shelfwise.plans.oracle.feature_jobs import FEAT
 from shelfwise.plans.oracle.ml import METRICS, SCORED, SMAPE
@@ -18,6 +19,23 @@ SELECT {METRICS} FROM p WHERE back <= 12""")
 star("ts13_seasonal_naive", SERIES + """SELECT category, week_end_date, y AS actual, last_year AS prediction FROM wb
   WHERE back <= 12 AND last_year IS NOT NULL""")
 
+_GRID = ", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for i, (a, b, c) in enumerate(SMOOTHING))
+oracle("ts13_seasonal_smoothing", STAR.replace("WITH panel", "WITH RECURSIVE panel", 1) + FEAT + f""",
+ws AS (SELECT category, week_end_date, sum(units) AS y FROM feat GROUP BY 1, 2),
+wb AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY week_end_date DESC) AS back FROM ws),
+ys AS (SELECT category, list(y ORDER BY week_end_date) AS ys FROM wb WHERE back > 12 GROUP BY 1 HAVING count(*) >= 104),
+lev AS (SELECT category, ys, list_reduce(ys[:52], lambda a, b: a + b) / 52 AS l FROM ys),
+fold AS (
+  SELECT category, no, a, b, c, ys, 52 AS i, l, 0::DOUBLE AS t, list_transform(ys[:52], lambda x: x - l) AS s, 0::DOUBLE AS sse
+  FROM lev, (VALUES {_GRID}) g(no, a, b, c)
+  UNION ALL
+  SELECT category, no, a, b, c, ys, i + 1, l + t + a * e, t + a * b * e,
+    s[:i % 52] || [s[i % 52 + 1] + c * (1 - a) * e] || s[i % 52 + 2:], sse + e * e
+  FROM (SELECT *, ys[i + 1] - (l + t + s[i % 52 + 1]) AS e FROM fold WHERE i < len(ys))),
+best AS (SELECT * FROM fold WHERE i = len(ys) QUALIFY row_number() OVER (PARTITION BY category ORDER BY sse, no) = 1)
+SELECT category, week_end_date, y AS actual, {H("l + (13 - back) * t + s[(i + 12 - back) % 52 + 1]", 4)} AS prediction
+FROM best JOIN wb USING (category) WHERE back <= 12""")
+
 star("cl1_store_profile", f""", p AS (SELECT ef.store_num::BIGINT AS store_num, seg_value_name, {m("total_revenue",
   "total_units")}, {H(mean("discount_pct"), 6)} AS avg_discount, {H(mean("(feature + display + tpr_only)"), 6)}
   AS avg_promotion, {H(mean("price"), 6)} AS avg_price, count(DISTINCT date_key) AS n_weeks_active,

@@ -73,6 +73,34 @@ star("w3_category_lags", CW + f"""SELECT week_end_date, category, r2::DOUBLE AS
   (r2 - lag(r2) {_W})::DOUBLE AS wow_delta, {growth("r2", f"lag(r2) {_W}")} AS wow_pct_change FROM w""")
 
 _TOT = ", w AS (SELECT week_end_date, round(sum(spend), 2) AS r FROM ef GROUP BY 1)\n"
+_NO = "datediff('day', DATE '1970-01-03', week_end_date) // 7"
+
+
+def _week(f: str, x: str, first: str, last: str, part: str = "category") -> str:
+    return f"{f}({x}) OVER (PARTITION BY {part} ORDER BY {_NO} RANGE BETWEEN {first} AND {last})"
+
+
+def _ago(x: str, k: int, part: str = "category") -> str:
+    return _week("max", x, f"{k} PRECEDING", f"{k} PRECEDING", part)
+
+
+def _avg(k: int, part: str = "category") -> str:
+    f = lambda name: _week(name, "r", f"{k - 1} PRECEDING", "CURRENT ROW", part)
+    return H(f"{f('sum')}::DOUBLE / {f('count')}", 2)
+
+
+star("w3_calendar_lags", CW + f"""SELECT week_end_date, category, r2::DOUBLE AS weekly_revenue,
+  {_ago("r2::DOUBLE", 1)} AS prev_week_revenue, {_ago("r2::DOUBLE", 4)} AS revenue_4w_ago,
+  {_ago("r2::DOUBLE", 52)} AS revenue_52w_ago, {_week("max", "r2::DOUBLE", "1 FOLLOWING", "1 FOLLOWING")} AS next_week_revenue,
+  {growth("r2", _ago("r2", 1))} AS wow_pct_change FROM w""")
+_SC = "store_num, category"
+star("ts1_calendar_series", f""", w AS (SELECT week_end_date, ef.store_num::BIGINT AS store_num, category, sum(spend) AS r,
+  round(sum(spend), 2) AS r2 FROM ef GROUP BY ALL)
+SELECT week_end_date, store_num, category, r2::DOUBLE AS weekly_revenue, {_ago("r2::DOUBLE", 1, _SC)} AS prev_week_revenue,
+  {_ago("r2::DOUBLE", 52, _SC)} AS same_week_last_year, {_avg(4, _SC)} AS rolling_4w_avg_revenue,
+  {_avg(12, _SC)} AS rolling_12w_avg_revenue, {_avg(52, _SC)} AS rolling_52w_avg_revenue FROM w""")
+star("w6_calendar_averages", CW + f"""SELECT week_end_date, category, r2::DOUBLE AS weekly_revenue, {_avg(4)} AS ma_4w,
+  {_avg(8)} AS ma_8w, {_avg(12)} AS ma_12w FROM w""")
 star("w4_first_last_peak", _TOT + f"""SELECT week_end_date, r::DOUBLE AS weekly_revenue,
   first_value(r::DOUBLE) OVER {_ALL} AS first_week_revenue, last_value(r::DOUBLE) OVER {_ALL} AS last_week_revenue,
   max(r::DOUBLE) OVER () AS all_time_peak_revenue,

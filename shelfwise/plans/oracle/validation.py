@@ -149,3 +149,21 @@ star("v18_join_cardinality", LOOKUP + " UNION ALL ".join(
     USING ({k})""" for name, t, k in (("product", "product", "upc"), ("store", "store", "store_num"),
                                       ("calendar", "calendar", "date_key"),
                                       ("store lookup before dedup", "lookup", "store_num"))))
+
+_IMPOSSIBLE = (
+    ("Negative Units", "units < 0"), ("Zero or Negative Price", "price <= 0"),
+    ("Zero or Negative Spend (units>0)", "spend <= 0 AND units > 0"), ("Price > Base Price", "price > base_price + 0.01"),
+    ("Negative Base Price", "base_price <= 0"), ("Feature Not 0 or 1", "feature NOT IN (0, 1)"),
+    ("Display Not 0 or 1", "display NOT IN (0, 1)"), ("TPR Not 0 or 1", "tpr_only NOT IN (0, 1)"),
+    ("HHS > Visits", "hhs > visits + 5"), ("Visits > Units * 5", "visits > units * 5 AND units > 0"))
+_GATED = DELIVERED + ", gated AS (SELECT *, list_filter([" + ", ".join(
+    f"CASE WHEN {c} THEN '{n}' END" for n, c in _IMPOSSIBLE) + "], lambda x: x IS NOT NULL) AS broken FROM delivered)"
+_SHARE = "(count(*) FILTER (len(broken) > 0)) * 100.0::DOUBLE / count(*)"
+star("v12_gate_report", _GATED + f""", total AS (SELECT count(*) AS total_rows, count(*) FILTER (len(broken) > 0) AS broken_rows,
+  {bands(_SHARE, L.GRADE_EDGES, L.GRADES)} AS grade FROM gated)
+""" + " UNION ALL ".join(f"SELECT '{n}' AS issue, (SELECT count(*) FROM delivered WHERE {c}) AS record_count, broken_rows, total_rows, grade FROM total"
+                         for n, c in _IMPOSSIBLE))
+star("v7_quarantined_rows", _GATED + """SELECT week_end_date, store_num::BIGINT AS store_num, upc, units, spend::DOUBLE AS spend,
+  array_to_string(broken, ', ') AS broken_rules FROM gated WHERE len(broken) > 0""")
+star("v12_rows_past_gate", _GATED + """SELECT count(*) AS row_count, sum(units)::BIGINT AS units, sum(spend)::DOUBLE AS spend
+  FROM gated WHERE len(broken) = 0""")

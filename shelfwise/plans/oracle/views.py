@@ -1,4 +1,4 @@
-from shelfwise.plans.oracle.base import H, X, m, share, star
+from shelfwise.plans.oracle.base import H, ORACLE, X, m, oracle, share, star
 from shelfwise.plans.oracle.product import ABC
 from shelfwise.plans.oracle.series import roll
 
@@ -45,3 +45,7 @@ star("mv2_category_segment", f"""SELECT category, seg_value_name, {m("total_reve
   "avg_discount_pct:4")} FROM ef GROUP BY 1, 2""")
 star("mv3_product_summary", f"""SELECT upc, description, category, manufacturer, {m("total_revenue", "total_units",
   "avg_price", "avg_discount_pct:4", "promo_rate_pct")} FROM ef GROUP BY 1, 2, 3, 4""")
+
+for _mv, _of in (("mv1_refreshed", "mv1_weekly_portfolio"), ("mv2_refreshed", "mv2_category_segment"), ("mv3_refreshed", "mv3_product_summary")):
+    oracle(_mv, ORACLE[_of])
+star("io6_recomputed_weeks", "SELECT date_key::BIGINT AS date_key FROM (SELECT DISTINCT date_key FROM fact ORDER BY date_key DESC LIMIT 2)")

@@ -15,8 +15,7 @@ from shelfwise.plans.context import Context, query
 @query("s1_weekly_trend")
 def weekly_trend(cx: Context):
     by = ["week_end_date", "year", "quarter", "month", "week_of_year", "is_holiday_season"]
-    weekly = kpi_rollup(
-        cx.sales("calendar"),
+    weekly = cx.marts.rollup(
         by,
         [
             "total_revenue:4=_rev", "total_revenue=weekly_revenue", "total_units=weekly_units",

@@ -11,7 +11,7 @@ from shelfwise.operators.rank import dense_rank_desc, position_desc, rank_desc,
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.share import share_pct
 from shelfwise.operators.trend import (
-    growth_over, lag_of, rolling_mean, rolling_std, running_total, seasonal_index, series, whole, z_scores,
+    calendar_lag, calendar_mean, calendar_series, growth_over, lag_of, rolling_mean, rolling_std, running_total, seasonal_index, series, whole, z_scores,
 )
 from shelfwise.plans.context import Context, query
 from shelfwise.plans.promotion import TEST_CATEGORIES
@@ -147,6 +147,34 @@ def category_lags(cx: Context):
     )
 
 
+@query("w3_calendar_lags")
+def calendar_lags(cx: Context):
+    """As the row lags, by calendar weeks: a week without sales of the category gives null."""
+    w, value = calendar_series(WEEK, ["category"]), "weekly_revenue"
+    return category_weeks(cx).drop("_rev").select(
+        "*",
+        calendar_lag(value, w).alias("prev_week_revenue"),
+        calendar_lag(value, w, 4).alias("revenue_4w_ago"),
+        calendar_lag(value, w, 52).alias("revenue_52w_ago"),
+        calendar_lag(value, w, -1).alias("next_week_revenue"),
+        growth_pct(value, calendar_lag(value, w)).alias("wow_pct_change"),
+    )
+
+
+@query("ts1_calendar_series")
+def calendar_trend(cx: Context):
+    """Weekly revenue per store and category against the calendar weeks before; most of these series have gaps."""
+    by = [WEEK, "store_num", "category"]
+    weekly = cx.marts.rollup(by, ["total_revenue:4=_rev", "total_revenue=weekly_revenue"])
+    w = calendar_series(WEEK, ["store_num", "category"])
+    return weekly.select(
+        "*",
+        calendar_lag("weekly_revenue", w).alias("prev_week_revenue"),
+        calendar_lag("weekly_revenue", w, 52).alias("same_week_last_year"),
+        *[calendar_mean("_rev", w, 1 - n).alias(f"rolling_{n}w_avg_revenue") for n in (4, 12, 52)],
+    ).drop("_rev")
+
+
 @query("w4_first_last_peak")
 def first_last_peak(cx: Context):
     weekly = kpi_rollup(cx.sales("calendar"), [WEEK], ["total_revenue=weekly_revenue"])
@@ -216,6 +244,14 @@ def missing_weeks(sales: DataFrame, calendar: DataFrame, top: int = 50) -> DataF
     return worst.join(ranks, "missing_weeks")
 
 
+@query("w6_calendar_averages")
+def calendar_averages(cx: Context):
+    w = calendar_series(WEEK, ["category"])
+    return category_weeks(cx).select(
+        "*", *[calendar_mean("_rev", w, 1 - n).alias(f"ma_{n}w") for n in (4, 8, 12)]
+    ).drop("_rev")
+
+
 @query("w7_missing_weeks")
 def missing_weeks_query(cx: Context):
     return missing_weeks(cx.sales("product"), cx.star.calendar)

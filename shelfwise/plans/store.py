@@ -17,8 +17,7 @@ STORE = ["store_num", "store_name", "state", "seg_value_name"]
 
 @query("st1_store_ranking")
 def store_ranking(cx: Context):
-    out = kpi_rollup(
-        cx.sales("store"),
+    out = cx.marts.rollup(
         [*STORE, "city", "store_size_band", "sales_area_size_num"],
         [
             "total_revenue:4=_rev", "total_revenue", "total_units", "total_visits", "total_hhs",

@@ -10,7 +10,8 @@ from shelfwise.operators.report import metric_rows, shown
 from shelfwise.operators.trend import week_gaps
 from shelfwise.plans.context import Context, query
 from shelfwise.schema import TRANSACTION_KEY
-from shelfwise.sources import crosswalk
+from shelfwise.sources import crosswalk, gate
+from shelfwise.sources.workspace import Workspace
 
 # Row and week counts the retail panel is documented to have.
 EXPECTED_ROWS = {"transactions": 524950, "products": 58, "stores": 79}
@@ -196,3 +197,32 @@ def join_cardinality(cx: Context):
             "store lookup before dedup": (crosswalk.raw_store_lookup(cx.spark, cx.sf_dir), "store_num"),
         },
     )
+
+
+def gated(cx: Context) -> gate.GateReport:
+    """The delivery written through the gate; it does not stop here, so that its report can be read."""
+    path = f"{Workspace(cx.spark, 'gate').root}/transactions"
+    return gate.gated_write(delivered(cx), checks.transaction_rules(), path, stop=None)
+
+
+@query("v12_gate_report")
+def gate_report(cx: Context):
+    """Rows that break each rule, broken rows and grade, as the gate saw them while it wrote."""
+    found = gated(cx)
+    rows = [(name, n, found.broken, found.rows, found.grade) for name, n in found.per_rule.items()]
+    return cx.spark.createDataFrame(rows, "issue string, record_count long, broken_rows long, total_rows long, grade string")
+
+
+@query("v7_quarantined_rows")
+def quarantined_rows(cx: Context):
+    """The rows in quarantine with the rules they break."""
+    like = delivered(cx)
+    rows = gate.read_part(like, gated(cx).path, gate.BROKEN)
+    return rows.select(*TRANSACTION_KEY, "units", "spend", F.array_join("broken_rules", ", ").alias("broken_rules"))
+
+
+@query("v12_rows_past_gate")
+def rows_past_gate(cx: Context):
+    """Totals of the rows that the gate let through."""
+    rows = gate.read_part(delivered(cx), gated(cx).path, gate.SOUND)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("units").alias("units"), F.sum("spend").alias("spend"))

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.expr import half_up, ratio
+from shelfwise.operators.navigate import INPUTS, additive_columns, measures_over_mart
 from shelfwise.operators.rank import rank_desc
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.share import share_pct
 from shelfwise.operators.star import Star, mart_product_summary
 from shelfwise.operators.trend import rolling_mean, series
 from shelfwise.plans.context import Context, query
+from shelfwise.sources.refresh import WeeklyMart
+from shelfwise.sources.workspace import Workspace
 
 WEEK = "week_end_date"
 
@@ -136,6 +139,40 @@ VIEWS = {
     "vw_promotion_summary": promotion_summary,
     "vw_category_state": category_state,
 }
+#: Materialised results that are refreshed by week: dimensions, groups, measures.
+REFRESHED = {
+    "mv1_refreshed": (
+        ["calendar"],
+        [WEEK, "year", "quarter"],
+        ["total_revenue", "total_units", "total_visits", "avg_basket_value", "avg_discount_pct:4", "promo_rate_pct"],
+    ),
+    "mv2_refreshed": (
+        ["product", "store"], ["category", "seg_value_name"], ["total_revenue", "total_units", "avg_price", "avg_discount_pct:4"],
+    ),
+    "mv3_refreshed": (
+        ["product"],
+        ["upc", "description", "category", "manufacturer"],
+        ["total_revenue", "total_units", "avg_price", "avg_discount_pct:4", "promo_rate_pct"],
+    ),
+}
+
+
+def weekly_mart(star: Star, name: str, root: str) -> tuple[WeeklyMart, DataFrame]:
+    """A mart of ``REFRESHED`` stored below ``root``, and the rows it is made of."""
+    dims, by, measures = REFRESHED[name]
+    rows = star.sales(*dims).select("date_key", *by, *[c for c in INPUTS if c not in by])
+    return WeeklyMart(star.fact.sparkSession, root, by, additive_columns(), measures_over_mart(measures)), rows
+
+
+def corrected(cx: Context, name: str) -> tuple[WeeklyMart, list]:
+    """A mart stored before the last two weeks were corrected, then refreshed; and the weeks that were aggregated again."""
+    mart, rows = weekly_mart(cx.star, name, Workspace(cx.spark, name).root)
+    last = [r[0] for r in cx.star.fact.select("date_key").distinct().orderBy(F.desc("date_key")).limit(2).collect()]
+    units = F.when(F.col("date_key").isin(last), F.col("units") + 1).otherwise(F.col("units"))
+    mart.refresh(rows.withColumn("units", units))
+    return mart, mart.refresh(rows)
+
+
 MATERIALIZED = {
     "mv_weekly_portfolio": mv_weekly_portfolio,
     "mv_category_segment": mv_category_segment,
@@ -165,6 +202,16 @@ for _id, _name in (
 ):
     query(_id)(lambda cx, build=VIEWS[_name]: build(cx.star))
 
+for _id in REFRESHED:
+    query(_id)(lambda cx, name=_id: corrected(cx, name)[0].read())
+
+
+@query("io6_recomputed_weeks")
+def recomputed_weeks(cx: Context):
+    """Weeks that a refresh after a correction of the last two weeks aggregates again."""
+    return cx.spark.createDataFrame([(w,) for w in corrected(cx, "mv2_refreshed")[1]], "date_key int")
+
+
 for _id, _name in (
     ("mv1_weekly_portfolio", "mv_weekly_portfolio"),
     ("mv2_category_segment", "mv_category_segment"),

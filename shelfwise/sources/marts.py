@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shelfwise.operators.checks import require_many_to_one
 from shelfwise.operators.features import model_table
+from shelfwise.operators.navigate import LATTICE, Mart, Navigator, build_mart, finer_mart
 from shelfwise.operators.star import Star, build_calendar, build_star
 from shelfwise.session import shared_dir, tune
 from shelfwise.sources import crosswalk
@@ -20,7 +21,7 @@ _STAR_TABLES = ("fact", "product", "store", "calendar")
 #: Goes up when the stored tables change, so that older ones are not read.
 _LAYOUT = 2
 # Folders this process has found or stored, with the schemas of their tables.
-_STORED: dict[str, dict | T.StructType] = {}
+_STORED: dict[str, dict | T.StructType | tuple] = {}
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> int:
@@ -106,6 +107,23 @@ def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     return read_star(spark, path, _STORED[path])
 
 
+def stored_marts(spark: SparkSession, sf_dir: str) -> Navigator:
+    """The marts of the lattice next to the stored star, each built from the smallest finer one."""
+    star = stored_star(spark, sf_dir)
+    built: dict[str, Mart] = {}
+    for name, keys in LATTICE.items():
+        path = f"{_star_path(spark, sf_dir)}-mart-{name}"
+        if path not in _STORED:
+            finer = finer_mart(name, built)
+            planned = build_mart(star, name, finer.table if finer else None)
+            _stored(spark, path, lambda folder, rows=planned, by=keys: write_table(rows, folder, cluster_by=by))
+            table = _read(spark, path, planned.schema)
+            _STORED[path] = (planned.schema, table.count())
+        schema, rows = _STORED[path]
+        built[name] = Mart(name, keys, _read(spark, path, schema), rows)
+    return Navigator(star, list(built.values()))
+
+
 def stored_features(spark: SparkSession, sf_dir: str, priority: tuple[str, ...]) -> DataFrame:
     """Model table next to the stored star, so that fits share one build."""
     star = stored_star(spark, sf_dir)

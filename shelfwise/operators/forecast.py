@@ -156,15 +156,18 @@ def fit_boosted(
     return model, table
 
 
-def one_step(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None) -> DataFrame:
-    """Holdout predictions one week ahead, from actual lags."""
-    model, table = fit_boosted(weekly, keys, value, estimator)
+def one_step(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None, model: Model | None = None) -> DataFrame:
+    """Holdout predictions one week ahead, from actual lags; ``model`` if it is fitted already."""
+    table = lag_table(weekly, keys, value)
+    model = model or fit_boosted(weekly, keys, value, estimator)[0]
     return models.predict(model, table.filter("is_test")).select(
         *keys, WEEK, F.col(models.TARGET).alias("actual"), "prediction"
     )
 
 
-def recursive(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None, steps: int = HOLDOUT) -> DataFrame:
+def recursive(
+    weekly: DataFrame, keys: Sequence[str], value: str, estimator=None, steps: int = HOLDOUT, model: Model | None = None
+) -> DataFrame:
     """Holdout predictions that feed on themselves: only train weeks are known.
 
     Each series carries its last eight values as an array; a step reads the
@@ -173,7 +176,7 @@ def recursive(weekly: DataFrame, keys: Sequence[str], value: str, estimator=None
     first one repeated before them, one without any starts from the mean of all
     train weeks.
     """
-    model, _ = fit_boosted(weekly, keys, value, estimator, steps)
+    model = model or fit_boosted(weekly, keys, value, estimator, steps)[0]
     marked = mark_holdout(weekly, keys, steps).withColumn("actual", F.col(value).cast("double"))
     known = F.when(~F.col("is_test") & (F.col("back") <= steps + 8), F.struct(WEEK, "actual"))
     held = F.when(F.col("is_test"), F.struct("back", F.struct(WEEK, "actual").alias("row")))

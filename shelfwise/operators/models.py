@@ -4,9 +4,12 @@ feature selection, importance."""
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions.expr import count_where, dbl, half_up, ratio
 from shelfwise.operators.features import FEATURES, TARGET, WEEK
 from shelfwise.operators.scale import group_quantiles
+from shelfwise.session import shared_dir
+from shelfwise.sources.workspace import Workspace
 
 SEED = 42
 
@@ -192,6 +197,10 @@ def classifiers(label: str = "high_sales", trees: int = 150, rounds: int = 200,
 
 
 def fit(train: DataFrame, estimator, columns: Sequence[str] = FEATURES) -> Model:
+    """Fitted pipeline.  Boosting cuts its lineage by checkpoints, which need a folder."""
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(train.sparkSession))
     return Pipeline(stages=[vector(columns), estimator]).fit(train)
 
 
@@ -230,22 +239,39 @@ def compare_classifiers(
 
 
 def cross_validate(
-    df: DataFrame, score: Callable[[DataFrame, DataFrame], DataFrame], folds: int = 5, week: str = WEEK
+    df: DataFrame,
+    score: Callable[[DataFrame, DataFrame], DataFrame],
+    folds: int = 5,
+    week: str = WEEK,
+    parallel: int = 1,
 ) -> DataFrame:
     """Metrics of every expanding fold.
 
     ``score(train, test)`` returns the test rows with a prediction.  Folds cut
-    between weeks, never inside one.
+    between weeks, never inside one.  ``parallel`` folds are fitted at a time.
     """
-    out = None
-    for i, (lo, hi) in enumerate(fold_starts(df, folds, week), start=1):
-        day = F.col(week)
+    day = F.col(week)
+
+    def of_fold(number: int, lo, hi) -> DataFrame:
         train, test = df.filter(day < F.lit(lo)), df.filter(day.between(F.lit(lo), F.lit(hi)))
-        row = regression_metrics(score(train, test)).withColumn("fold", F.lit(i))
-        out = row if out is None else out.unionByName(row)
+        return regression_metrics(score(train, test)).withColumn("fold", F.lit(number))
+
+    jobs = [(i, lo, hi) for i, (lo, hi) in enumerate(fold_starts(df, folds, week), start=1)]
+    rows = side_by_side(df.sparkSession, [lambda j=j: of_fold(*j) for j in jobs], parallel)
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
     return out
 
 
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallel: int) -> list:
+    """Results of the jobs in order, ``parallel`` of them at a time: small fits leave executors idle between their jobs."""
+    if parallel <= 1:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(parallel) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def fold_summary(folds: DataFrame) -> DataFrame:
     """Mean and (population) spread of each metric over the folds."""
     names = ("mae", "rmse", "smape_pct", "r2")
@@ -269,30 +295,55 @@ SEARCH_SPACE = {
 }
 
 
-def random_search(
+def search_grid(space: dict[str, Sequence] | None = None, draws: int = 15) -> list[dict]:
+    """Settings drawn from the whole grid, each at most once."""
+    space = space or SEARCH_SPACE
+    grid = list(itertools.product(*space.values()))
+    return [dict(zip(space, values, strict=True)) for values in random.Random(SEED).sample(grid, min(draws, len(grid)))]
+
+
+def halving_search(
     train: DataFrame,
     draws: int = 15,
     folds: int = 3,
     space: dict[str, Sequence] | None = None,
     columns: Sequence[str] = FEATURES,
+    rungs: Sequence[float] = (1 / 27, 1 / 9, 1 / 3),
+    keep: float = 1 / 3,
+    parallel: int = 4,
 ) -> DataFrame:
-    """Mean fold MAE of randomly drawn boosted-tree settings, best first.
+    """Successive halving over drawn boosted-tree settings, best first.
 
-    The loop only schedules fits; every fit and score runs on the executors.
+    On each rung the settings left are scored by their mean fold MAE with a
+    share of their rounds; the best ``keep`` of them go on to the next, larger
+    share.  Fits read one stored table of assembled features and run side by
+    side.  A setting's row tells the rung it reached, its rounds there and its
+    MAE; the first row is the winner, whose full rounds are ``maxIter``.
     """
-    space = space or SEARCH_SPACE
-    grid = list(itertools.product(*space.values()))
-    picked = random.Random(SEED).sample(grid, min(draws, len(grid)))
-    out = None
-    for number, values in enumerate(picked, start=1):
-        settings = dict(zip(space, values))
-        estimator = GBTRegressor(featuresCol="features", labelCol=TARGET, seed=SEED, **settings)
-        scored = cross_validate(train, lambda a, b: predict(fit(a, estimator, columns), b), folds)
-        row = scored.agg(half_up(F.avg("mae"), 4).alias("mean_mae")).select(
-            F.lit(number).alias("draw"), *[F.lit(v).cast("double").alias(k) for k, v in settings.items()], "mean_mae"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out.orderBy("mean_mae", "draw")
+    spark = train.sparkSession
+    work = Workspace(spark, "search")
+    table = work.table(vector(columns).transform(train).select(WEEK, TARGET, "features"), "train")
+    left = list(enumerate(search_grid(space, draws), start=1))
+    scored: dict[int, tuple] = {}
+
+    def mean_mae(settings: dict, rounds: int) -> float:
+        estimator = GBTRegressor(featuresCol="features", labelCol=TARGET, seed=SEED, **{**settings, "maxIter": rounds})
+        maes = cross_validate(table, lambda a, b: predict(estimator.fit(a), b), folds)
+        return maes.agg(F.avg("mae")).first()[0]
+
+    for rung, share in enumerate(rungs, start=1):
+        rounds = [max(1, round(settings["maxIter"] * share)) for _, settings in left]
+        jobs = [lambda s=s, r=r: mean_mae(s, r) for (_, s), r in zip(left, rounds, strict=True)]
+        maes = side_by_side(spark, jobs, parallel)
+        for (draw, settings), r, mae in zip(left, rounds, maes, strict=True):
+            scored[draw] = (rung, r, round(mae, 4), settings)
+        order = sorted(left, key=lambda x: (scored[x[0]][2], x[0]))
+        left = sorted(order[: max(1, math.ceil(len(left) * keep))]) if rung < len(rungs) else left
+    work.drop("train")
+    rows = [(draw, rung, r, mae, *[float(v) for v in settings.values()]) for draw, (rung, r, mae, settings) in scored.items()]
+    names = list(search_grid(space, 1)[0])
+    kind = "draw int, rung int, rounds int, mean_mae double, " + ", ".join(f"{n} double" for n in names)
+    return spark.createDataFrame(rows, kind).orderBy(F.desc("rung"), "mean_mae", "draw")
 
 
 def tuned_vs_default(scores: dict[str, DataFrame]) -> DataFrame:

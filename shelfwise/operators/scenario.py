@@ -229,30 +229,31 @@ def cluster_strategy(profile: DataFrame) -> DataFrame:
     )
 
 
-def best_per_cluster(recommended: DataFrame, clusters: DataFrame, profile: DataFrame, category: str) -> DataFrame:
-    """Best scenario of each cluster's representative (lowest-numbered) store."""
-    chosen = recommended.filter(F.col("category") == category)
-    stores = clusters.join(chosen.select("store_num").distinct(), "store_num", "left_semi")
-    first = stores.groupBy("cluster").agg(F.min("store_num").alias("store_num"))
+def best_per_cluster(recommended: DataFrame, clusters: DataFrame, profile: DataFrame, category: str | None = None) -> DataFrame:
+    """Best scenario per month and category of each cluster's representative: its lowest-numbered store with the category."""
+    chosen = recommended if category is None else recommended.filter(F.col("category") == category)
+    sold = chosen.select("category", "store_num").distinct().join(clusters.select("store_num", "cluster"), "store_num")
+    first = sold.groupBy("cluster", "category").agg(F.min("store_num").alias("store_num"))
     return (
         chosen.filter("place = 1")
-        .join(first, "store_num")
+        .join(first, ["category", "store_num"])
         .join(cluster_strategy(profile), "cluster")
         .withColumnRenamed("store_num", "representative_store")
     )
 
 
-def promo_landscape(recommended: DataFrame, clusters: DataFrame, category: str, top: int = 4) -> DataFrame:
-    """Best lever combinations per cluster by their highest mean revenue over
-    the cluster's stores."""
+def promo_landscape(recommended: DataFrame, clusters: DataFrame, category: str | None = None, top: int = 4) -> DataFrame:
+    """Best lever combinations per category, month and cluster by their highest
+    mean revenue over the cluster's stores."""
+    chosen = recommended if category is None else recommended.filter(F.col("category") == category)
+    by = ["category", "month", "cluster"]
     per_price = (
-        recommended.filter(F.col("category") == category)
-        .join(clusters.select("store_num", "cluster"), "store_num")
-        .groupBy("cluster", "scenario", "discount_pct")
+        chosen.join(clusters.select("store_num", "cluster"), "store_num")
+        .groupBy(*by, "scenario", "discount_pct")
         .agg(F.avg("predicted_revenue").alias("_rev"))
     )
-    best = per_price.groupBy("cluster", "scenario").agg(
+    best = per_price.groupBy(*by, "scenario").agg(
         half_up(F.max("_rev"), 2).alias("best_revenue"), F.max_by("discount_pct", "_rev").alias("discount_pct")
     )
-    place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("best_revenue"), "scenario"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("best_revenue"), "scenario"))
     return best.withColumn("place", place).filter(F.col("place") <= top)

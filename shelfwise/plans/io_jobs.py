@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from shelfwise.operators.features import LAGS, history_features
 from shelfwise.operators.report import metric_rows, shown
 from shelfwise.operators.rollup import kpi_rollup
 from shelfwise.operators.star import mart_weekly_store_category, reaggregate_mart
@@ -15,7 +16,7 @@ from shelfwise.schema import RAW_TABLES
 from shelfwise.session import shared_dir
 from shelfwise.sources import crosswalk
 from shelfwise.sources.marts import cut_lineage, refresh_mart
-from shelfwise.sources.panel import read_raw, write_table
+from shelfwise.sources.panel import bucketed, read_raw, write_table
 
 
 @query("io1_csv_round_trip")
@@ -91,3 +92,28 @@ def one_year(cx: Context):
     """Category totals of one year: only that year's folder is read."""
     sales = cx.sales("product").filter("year = 1998")
     return kpi_rollup(sales, ["category"], ["total_revenue", "total_units", "row_count"])
+
+
+BUCKETS = 16
+
+
+def bucketed_panel(cx: Context):
+    """Key and units of the fact, bucketed by store and product, weeks in order."""
+    rows = cx.transactions.select("week_end_date", "store_num", "upc", "units")
+    name = f"panel_{uuid.uuid4().hex}"
+    return bucketed(rows, name, f"{shared_dir(cx.spark)}/{name}", ["store_num", "upc"], BUCKETS, ["week_end_date"])
+
+
+@query("io8_bucketed_lags")
+def bucketed_lags(cx: Context):
+    """Lags per store and product over the bucketed panel: the window needs no exchange."""
+    out = history_features(bucketed_panel(cx), fill=False)
+    return out.select("week_end_date", "store_num", "upc", *[f"sales_last_{n}_week" for n in LAGS])
+
+
+@query("io3_interleaved_store_filter")
+def interleaved_store_filter(cx: Context):
+    """Units per product of one store, from a layer whose files are ranges of store and product."""
+    path = f"{shared_dir(cx.spark)}/by_store-{uuid.uuid4().hex}"
+    write_table(cx.star.fact.select("store_num", "upc", "units"), path, cluster_by=("store_num", "upc"))
+    return cx.spark.read.parquet(path).filter("store_num = 7").groupBy("upc").agg(F.sum("units").alias("units"))

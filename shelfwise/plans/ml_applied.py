@@ -9,7 +9,7 @@ from shelfwise.operators import cluster, errors, forecast, models, rules, scenar
 from shelfwise.operators.features import FEATURES, WEEK
 from shelfwise.plans import ml
 from shelfwise.plans.context import PRIORITY, RISKY, Context, query
-from shelfwise.sources.marts import cut_lineage
+from shelfwise.sources.marts import cut_lineage, stored_model, stored_result
 
 CATEGORY = ["category"]
 
@@ -33,29 +33,35 @@ def moving_average_metrics(cx: Context):
     return models.regression_metrics(out, (), "actual")
 
 
+def series_model(cx: Context):
+    """The boosted forecast model over all categories, fitted once."""
+    fit = lambda: forecast.fit_boosted(weekly_units(cx), CATEGORY, "total_units")[0]
+    return stored_model(cx.spark, cx.sf_dir, "forecast", fit)
+
+
 @query("ts11_boosted_one_step")
 def boosted_one_step(cx: Context):
-    return forecast.one_step(weekly_units(cx), CATEGORY, "total_units", forecast.boosted(ml.ROUNDS))
+    return forecast.one_step(weekly_units(cx), CATEGORY, "total_units", model=series_model(cx))
 
 
 @query("ts11_boosted_recursive")
 def boosted_recursive(cx: Context):
-    return forecast.recursive(weekly_units(cx), CATEGORY, "total_units", forecast.boosted(ml.ROUNDS))
+    return forecast.recursive(weekly_units(cx), CATEGORY, "total_units", model=series_model(cx))
 
 
 @query("ts12_forecast_comparison")
 def forecast_comparison(cx: Context):
     weekly = weekly_units(cx)
     args = (weekly, CATEGORY, "total_units")
-    small = forecast.boosted(ml.ROUNDS)
+    model = series_model(cx)
     return forecast.compare(
         {
             "Moving Average": ("12 weeks", forecast.moving_average(*args)),
             "Seasonal Naive": ("12 weeks", forecast.seasonal_naive(*args)),
             "Fourier Regression": ("12 weeks", forecast.fourier_regression(*args)),
             "Seasonal Smoothing": ("12 weeks", forecast.seasonal_smoothing(*args)),
-            "Boosted (recursive)": ("12 weeks", forecast.recursive(*args, small)),
-            "Boosted (one step)": ("1 week", forecast.one_step(*args, small)),
+            "Boosted (recursive)": ("12 weeks", forecast.recursive(*args, model=model)),
+            "Boosted (one step)": ("1 week", forecast.one_step(*args, model=model)),
         }
     )
 
@@ -274,7 +280,7 @@ def price_grid(cx: Context):
 
 
 def price_scenarios_for(cx: Context, by: list[str], rows):
-    model = models.fit(ml.split(cx)[0], ml.boosted())
+    model = ml.boosted_model(cx)
     return scenario.score_prices(model, scenario.group_means(rows, by), by, risky_category=RISKY)
 
 
@@ -299,17 +305,22 @@ def promo_grid(cx: Context):
 
 @query("sc3_promo_scenarios")
 def promo_scenarios(cx: Context):
-    model = models.fit(ml.split(cx)[0], ml.boosted())
+    model = ml.boosted_model(cx)
     return scenario.score_promos(model, scenario.group_means(cx.features, GROUP), GROUP, PRIORITY)
 
 
-def recommended(cx: Context, months=(6,)):
+MONTHS = tuple(range(1, 13))
+
+
+def recommended(cx: Context):
+    """Every group's scored grid for every month, built once."""
     train, _ = models.time_split(ml.labelled(cx))
-    label = models.classifiers(trees=ml.TREES, rounds=ml.ROUNDS)["Random Forest"]
-    return scenario.recommend(
-        models.fit(train, ml.boosted()), models.fit(train, label, FEATURES), cx.features,
-        months=months, priority=PRIORITY, risky_category=RISKY,
-    )
+    forest = models.classifiers(trees=ml.TREES)["Random Forest"]
+    label = stored_model(cx.spark, cx.sf_dir, f"high-sales-{ml.TREES}", lambda: models.fit(train, forest, FEATURES))
+    build = lambda: scenario.recommend(
+        ml.boosted_model(cx), label, cx.features, months=MONTHS, priority=PRIORITY, risky_category=RISKY
+    )
+    return stored_result(cx.spark, cx.sf_dir, "recommended", build)
 
 
 @query("rc1_next_week_rows")
@@ -333,9 +344,9 @@ def recommendations(cx: Context):
 @query("rc2_best_per_cluster")
 def best_per_cluster(cx: Context):
     clusters = clustered(cx)
-    return scenario.best_per_cluster(recommended(cx, (11,)), clusters, cluster.cluster_profile(clusters), PRIORITY[0])
+    return scenario.best_per_cluster(recommended(cx), clusters, cluster.cluster_profile(clusters))
 
 
 @query("rc2_promo_landscape")
 def promo_landscape(cx: Context):
-    return scenario.promo_landscape(recommended(cx, (11,)), clustered(cx), PRIORITY[0])
+    return scenario.promo_landscape(recommended(cx), clustered(cx))

@@ -19,3 +19,8 @@ star("io3_clustered_layer", """SELECT (date_key // 10000)::BIGINT AS year, (date
 star("io7_metric_report", """SELECT unnest(['units', 'visits', 'rows']) AS metric, unnest([u, v, n]) AS value,
   unnest([u::VARCHAR, v::VARCHAR, n::VARCHAR]) AS shown
   FROM (SELECT sum(units)::BIGINT AS u, sum(visits)::BIGINT AS v, count(*)::BIGINT AS n FROM fact)""")
+
+_SERIES = "OVER (PARTITION BY trans.store_num, upc ORDER BY week_end_date)"
+star("io8_bucketed_lags", "SELECT week_end_date, store_num::BIGINT AS store_num, upc, " + ", ".join(
+    f"lag(units::DOUBLE, {k}) {_SERIES} AS sales_last_{k}_week" for k in (1, 2, 4, 8)) + " FROM trans")
+star("io3_interleaved_store_filter", "SELECT upc, sum(units)::BIGINT AS units FROM fact WHERE store_num = 7 GROUP BY 1")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,8 @@ _SOURCES = ("lineitem", "orders", "part", "supplier", "nation", "region")
 _STAR_TABLES = ("fact", "product", "store", "calendar")
 #: Goes up when the stored tables change, so that older ones are not read.
 _LAYOUT = 2
+# Models this process has loaded, by session and folder.
+_MODELS: dict[tuple[str, str], PipelineModel] = {}
 # Folders this process has found or stored, with the schemas of their tables.
 _STORED: dict[str, dict | T.StructType | tuple] = {}
 
@@ -135,6 +138,27 @@ def stored_features(spark: SparkSession, sf_dir: str, priority: tuple[str, ...])
     return _read(spark, path, _STORED[path])
 
 
+def stored_model(spark: SparkSession, sf_dir: str, name: str, fit) -> PipelineModel:
+    """A fitted pipeline next to the stored star: fit once per state of the inputs, loaded by every other user."""
+    path = model_path(spark, sf_dir, name)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _MODELS:
+        _stored(spark, path, lambda folder: fit().write().overwrite().save(folder))
+        _MODELS[key] = PipelineModel.load(path)
+    return _MODELS[key]
+
+
+def model_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return f"{_star_path(spark, sf_dir)}-model-{name}"
+
+
+def stored_result(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A small result next to the stored star, built once per state of the inputs."""
+    path = f"{_star_path(spark, sf_dir)}-result-{name}"
+    _stored(spark, path, lambda folder: write_table(build(), folder))
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a table in the shared folder.
 

@@ -2,13 +2,15 @@
 
 import datetime as dt
 import itertools
+import math
 import random
 import statistics
 
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from shelfwise.operators import forecast, gram, sketches, trend
+from shelfwise.operators import attribution, forecast, gram, models, sketches, trend
 from shelfwise.operators.features import history_features
 from shelfwise.operators.navigate import INPUTS, additive_columns, measures_over_mart
 from shelfwise.operators.rollup import kpi_rollup
@@ -226,3 +228,63 @@ def test_new_queries_are_registered_with_twins():
     names = "ar2_basket_itemsets ar3_basket_rules ar2_store_week_itemsets mv1_refreshed mv2_refreshed mv3_refreshed io6_recomputed_weeks".split()
     names += "x12_distinct_by_quarter v12_gate_report v7_quarantined_rows w3_calendar_lags fe5_calendar_lags ct4_zero_week_runs ts13_seasonal_smoothing".split()
     assert all(n in twins for n in names) and list(itertools.islice(twins, 1))
+
+
+# --- attributions and layout
+
+
+def plain_contributions(trees, x):
+    """Over all subsets of features, with unknown ones followed by both sides."""
+    def known(leaves, subset):
+        total = 0.0
+        for leaf in leaves:
+            part = leaf.value
+            for f, low, high, share in leaf.conditions:
+                part *= float(low < x[f] <= high) if f in subset else share
+            total += part
+        return total
+
+    n, leaves = len(x), [leaf for tree in trees for leaf in tree]
+    out = []
+    for j in range(n):
+        rest = [k for k in range(n) if k != j]
+        out.append(sum(
+            math.factorial(len(s)) * math.factorial(n - 1 - len(s)) / math.factorial(n) * (known(leaves, {*s, j}) - known(leaves, set(s)))
+            for size in range(n) for s in itertools.combinations(rest, size)
+        ))
+    return out, known(leaves, set())
+
+
+def test_contributions_of_fitted_trees(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(float(rng.randrange(6)), rng.random(), float(rng.randrange(3)), rng.random()) for _ in range(300)]
+    df = spark.createDataFrame([(*r, 3 * r[0] * r[1] + r[2] ** 2 + rng.random()) for r in rows], "a double, b double, c double, d double, units double")
+    columns = ["a", "b", "c", "d"]
+    model = models.fit(df, GBTRegressor(featuresCol="features", labelCol="units", maxIter=5, maxDepth=3, seed=1), columns)
+    model.write().overwrite().save(f"{tmp_path}/m")
+    trees = attribution.saved_leaves(spark, model, f"{tmp_path}/m")
+    found = attribution.attribute(trees, df.withColumn("p", F.monotonically_increasing_id()), columns, ["p", *columns[:0]]).collect()
+    scored = model.transform(df.withColumn("p", F.monotonically_increasing_id())).collect()
+    truth = {r["p"]: r for r in scored}
+    for r in found:
+        assert r["base"] + sum(r[c] for c in columns) == pytest.approx(truth[r["p"]]["prediction"], abs=1e-6)
+    for r in found[:12]:
+        want, base = plain_contributions(trees, [truth[r["p"]][c] for c in columns])
+        assert [r[c] for c in columns] == pytest.approx(want, abs=1e-9) and r["base"] == pytest.approx(base, abs=1e-9)
+
+
+def test_bucketed_windows_need_no_exchange(spark, sf_dir):
+    text = plan(REGISTRY["io8_bucketed_lags"](Context(spark, sf_dir)))
+    assert "Window" in text and "Exchange" not in text
+
+
+def test_halving_keeps_the_better_settings(spark):
+    rng = random.Random(7)
+    start = dt.date(2020, 1, 4)
+    rows = [(start + dt.timedelta(weeks=w), x, y, 5 * x + y) for w in range(12) for x, y in [(float(rng.randrange(9)), rng.random()) for _ in range(25)]]
+    df = spark.createDataFrame(rows, "week_end_date date, x double, z double, units double")
+    space = {"maxIter": (6, 9), "maxDepth": (1, 3), "stepSize": (0.1,), "subsamplingRate": (1.0,)}
+    found = models.halving_search(df, 4, 2, space, ["x", "z"], rungs=(1 / 3, 1.0), keep=0.5, parallel=2).collect()
+    assert [r["rung"] for r in found] == [2, 2, 1, 1] and found[0]["mean_mae"] <= found[1]["mean_mae"]
+    assert sorted(r["draw"] for r in found) == [1, 2, 3, 4] and all(r["rounds"] == (r["maxIter"] if r["rung"] == 2 else round(r["maxIter"] / 3)) for r in found)
+    assert max(r["mean_mae"] for r in found if r["rung"] == 1) >= found[0]["mean_mae"]

@@ -134,12 +134,12 @@ class ToxicModel:
             constant = 0.0 if not len(labels) else (4.0 if labels[0] else -4.0)
             return ToxicModel(np.zeros(ROWS), constant)
         rng = np.random.default_rng(seed)
-        bags = [words_of(t) for t in texts]
         vocabulary: dict[str, int] = {}
-        docs = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in bag), np.int64, len(bag)) for bag in bags]
+        docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], np.int32) for t in texts]
         spelling = list(vocabulary)
-        flat, begins = grams(spelling)
-        counts = np.diff(np.append(begins, len(flat)))
+        del vocabulary
+        flat, counts = _vocabulary_grams(spelling)
+        begins = np.cumsum(counts) - counts
         embed = rng.normal(0, 0.05, (ROWS, WIDTH))
         embed_sq = np.full(ROWS, 1e-3)  # AdaGrad, one sum per row
         soft = rng.normal(0, 0.3, (WIDTH, 2))
@@ -194,6 +194,16 @@ class ToxicModel:
         return ToxicModel(embed @ (soft[:, 1] - soft[:, 0]), float(bias))
 
 
+def _vocabulary_grams(spelling: list[str], step: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of all words one after the other, and each word's number of them; a slice of the words at a time."""
+    flat, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(spelling), step):
+        rows, begins = grams(spelling[at : at + step])
+        flat.append(rows.astype(np.int32))
+        counts.append(np.diff(np.append(begins, len(rows))).astype(np.int32))
+    return np.concatenate(flat), np.concatenate(counts).astype(np.int64)
+
+
 def misspell(word: str, rng: np.random.Generator) -> str:
     """A word of five characters or more with one dropped, doubled, swapped or replaced."""
     if len(word) < 5:

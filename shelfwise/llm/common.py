@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.session import tune
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees: ``spark.checkpoint.dir``.
@@ -28,9 +30,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Few rows per Arrow batch: texts are long, and a worker holds a batch at a time."""
+    """Few rows per Arrow batch: texts are long, and a worker holds a batch at a time; joins split skewed keys."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    return spark
+    return tune(spark)
 
 
 class Scratch:
@@ -45,7 +47,8 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/llm/{self.name}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        # Small row groups: every writing task holds one in memory, and rows may carry whole texts.
+        df.write.mode("overwrite").option("parquet.block.size", str(32 << 20)).parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +39,14 @@ AGREEMENT = 0.45
 #: most: what agrees with the node in 0.55 or more agrees with the hub in 0.45 or more; a pair at similarity 0.8 agrees
 #: in less than 0.55 with probability 1 in 10 ** 10.
 SETTLED = 0.9
-#: Nodes of a tile of signatures, about.
+#: Nodes on a side of a tile of signatures, at most.
 SIGN_TILE = 1024
-#: Texts of a tile, about.
+#: Texts on a side of a tile, at most.
 TILE = 256
+#: Characters that are hashed at once; some 60 bytes of memory each.
+STEP_CHARS = 1 << 18
+#: Share of a chunk's size that hashing fills on average.
+FILL = 0.6
 #: Columns of one matrix product.
 COLUMNS = 8192
 
@@ -56,13 +60,26 @@ _SIGNED = T.StructType(
 )
 
 
+def steps(texts: list[str], chars: int = STEP_CHARS) -> Iterator[list[str]]:
+    """The texts in runs of at most about ``chars`` characters, or of one text: bounds the memory of a step."""
+    run, held = [], 0
+    for text in texts:
+        if run and held + len(text) > chars:
+            yield run
+            run, held = [], 0
+        run.append(text)
+        held += len(text)
+    if run:
+        yield run
+
+
 @F.pandas_udf(_SIGNED)
 def _sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     size = BANDS * BAND_ROWS
     for batch in batches:
         signs, weights, bands = [], [], []
-        for at in range(0, len(batch), 256):  # bounds the memory of one step
-            sign, weight = signatures(batch.iloc[at : at + 256].tolist(), size)
+        for texts in steps(batch.tolist()):
+            sign, weight = signatures(texts, size)
             key = np.zeros((len(sign), BANDS), np.uint64)
             for row in range(BAND_ROWS):
                 key = mix64(key + sign.reshape(len(sign), BANDS, BAND_ROWS)[:, :, row] + np.uint64(row + 1))
@@ -124,18 +141,36 @@ def _links(near: np.ndarray, left: np.ndarray, right: np.ndarray, node: np.ndarr
     return pd.DataFrame({"a": node[off], "b": node[label[off]]}, columns=["a", "b"]).astype("int64")
 
 
+def _agree(sign: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the signatures left x right agree enough; a component at a time, in a byte per pair."""
+    out = np.zeros((len(left), len(right)), bool)
+    for at in range(0, len(left), 256):
+        rows = sign[left[at : at + 256]]
+        same = np.zeros((len(rows), len(right)), np.uint8 if sign.shape[1] < 256 else np.uint16)
+        for mine, other in zip(rows.T, sign[right].T, strict=True):
+            same += mine[:, None] == other[None, :]
+        out[at : at + 256] = same >= AGREEMENT * sign.shape[1]
+    return out
+
+
 def sign_links(tile: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) that connect the nodes of a bucket whose signatures agree enough and whose groups differ."""
+    """Links (a, b) that connect the nodes of a bucket whose signatures agree enough and whose groups differ.
+
+    Buckets that share a tile are not compared with each other.
+    """
     tile = tile.sort_values(["group", "node"]).reset_index(drop=True)
-    left = np.flatnonzero(tile["side"] != 1)
-    right = np.flatnonzero(tile["side"] != 0)
-    bucket, group = tile["group"].to_numpy(), tile["linked"].to_numpy()
+    bucket, linked = tile["group"].to_numpy(), tile["linked"].to_numpy()
+    side, node = tile["side"].to_numpy(), tile["node"].to_numpy()
     sign = np.frombuffer(b"".join(tile["sign"]), np.uint32).reshape(len(tile), -1)
-    same = np.zeros((len(left), len(right)), np.int16)
-    for value in sign.T:
-        same += value[left][:, None] == value[right][None, :]
-    near = (same >= AGREEMENT * sign.shape[1]) & (bucket[left][:, None] == bucket[right][None, :])
-    return _links(near & (group[left][:, None] != group[right][None, :]), left, right, tile["node"].to_numpy())
+    begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(tile) else []
+    found = []
+    for lo, hi in zip(begins, [*begins[1:], len(tile)], strict=True):
+        left = lo + np.flatnonzero(side[lo:hi] != 1)
+        right = lo + np.flatnonzero(side[lo:hi] != 0)
+        near = _agree(sign, left, right) & (linked[left][:, None] != linked[right][None, :])
+        if near.any():
+            found.append(_links(near, left - lo, right - lo, node[lo:hi]))
+    return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}).astype("int64")
 
 
 def tile_links(tile: pd.DataFrame, similarity: float = SIMILARITY) -> pd.DataFrame:
@@ -152,33 +187,37 @@ def tile_links(tile: pd.DataFrame, similarity: float = SIMILARITY) -> pd.DataFra
 
 
 def tiles(members: DataFrame, size: int = TILE) -> DataFrame:
-    """(group, node) dealt to tiles: (tile, side, group, node).
-
-    A group of up to ``size`` nodes goes whole into a tile with other small
-    ones.  A larger one is split into chunks by hash; each pair of chunks is a
-    tile (sides 0 and 1), each chunk by itself another (side 2).
+    """(group, node) dealt to tiles: (tile, side, group, node), at most ``size`` nodes on a side.
+
+    Groups of up to half that size share packs: they are dealt to bins by hash,
+    and sums of their sizes along a bin cut it into stretches of half the size;
+    a pack holds the groups that begin in its stretch, so never more than
+    ``size`` nodes.  A group of up to ``size`` nodes is a tile of its own.  A
+    larger one is split into chunks by hash, filled to ``FILL`` of the size on
+    average (more than ``size`` is some eight standard deviations away); each
+    pair of chunks is a tile (sides 0 and 1), each chunk by itself another
+    (side 2).
     """
+    half = size // 2
     sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
-    # About one pack for every ``size`` nodes of small groups, by hash of the group.
-    packs = sizes.where(F.col("_n") <= size).agg(F.ceil(F.coalesce(F.sum("_n"), F.lit(0)) / size + 1).alias("_p"))
-    n_packs = packs.first()["_p"]
-    sized = members.join(sizes, "group")
-    small = sized.where(F.col("_n") <= size).select(
-        F.struct(
-            F.lit(-1).cast("long").alias("of"),
-            F.pmod(F.xxhash64("group"), F.lit(n_packs)).cast("long").alias("i"),
-            F.lit(0).cast("long").alias("j"),
-        ).alias("tile"),
+    bins = F.ceil(F.coalesce(F.sum(F.when(F.col("_n") <= half, F.col("_n"))), F.lit(0)) / (64 * size) + 1)
+    n_bins = sizes.agg(bins.alias("_b")).first()["_b"]
+    before = Window.partitionBy("_bin").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    packs = (
+        sizes.where(F.col("_n") <= half)
+        .withColumn("_bin", F.pmod(F.xxhash64("group"), F.lit(n_bins)).cast("long"))
+        .withColumn("_pack", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / half))
+    )
+    none = F.lit(-1).cast("long")
+    small = members.join(packs, "group").select(
+        F.struct(F.col("_bin").alias("of"), F.col("_pack").alias("i"), none.alias("j")).alias("tile"),
         F.lit(2).alias("side"),
         "group",
         "node",
     )
-    large = sized.where(F.col("_n") > size).withColumns(
-        {
-            "_chunks": F.ceil(F.col("_n") / size).cast("long"),
-            "_own": F.pmod(F.xxhash64("node"), F.ceil(F.col("_n") / size)).cast("long"),
-        }
-    )
+    chunks = F.when(F.col("_n") <= size, 1).otherwise(F.ceil(F.col("_n") / (FILL * size))).cast("long")
+    large = members.join(sizes.where(F.col("_n") > half), "group").withColumn("_chunks", chunks)
+    large = large.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_chunks")))
     large = large.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1))).select(
         F.struct(
             F.col("group").alias("of"), F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j")

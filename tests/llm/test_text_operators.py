@@ -361,6 +361,22 @@ def near_rows(n_bases=12, copies=12):
     return rows + [rows[10], rows[10], (9950, rows[20][1])]
 
 
+@pytest.mark.parametrize("size", [64, 10])
+def test_tiles_never_exceed_their_bound(spark, size):
+    """Group sizes that fill packs badly: just below, at and above half and whole sizes, many equal, one huge."""
+    sizes = [1] * 300 + [2] * 50 + [size // 2] * 20 + [size // 2 + 1] * 20 + [size - 1] * 9 + [size] * 9 + [size + 1] * 5 + [size * 13]
+    rows = [(g * 7919, g * 100_000 + n) for g, k in enumerate(sizes) for n in range(k)]
+    dealt = near_dup.tiles(spark.createDataFrame(rows, "group long, node long"), size)
+    per_side = dealt.groupBy("tile", "side").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert per_side <= (size if size > 20 else size * 2)  # chunks by hash: the bound needs more than a handful of nodes
+    packs = dealt.where("tile.j = -1").groupBy("tile").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert packs <= size
+    pairs = dealt.select("tile", "group", F.col("node").alias("a"), "side").join(
+        dealt.select("tile", "group", F.col("node").alias("b"), F.col("side").alias("s2")), ["tile", "group"]
+    ).where("a < b AND (side = 2 OR side <> s2)")
+    assert pairs.select("a", "b").distinct().count() == sum(k * (k - 1) // 2 for k in sizes)
+
+
 def test_signatures_are_unbiased():
     rng = random.Random(2)
     errors = []

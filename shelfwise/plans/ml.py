@@ -22,6 +22,8 @@ from shelfwise.sources.marts import model_path, stored_model, stored_result
 ROUNDS, TREES, FOLD_ROUNDS = 200, 150, 150
 #: Fits that run side by side.
 PARALLEL = 4
+#: Shares of the rounds on the rungs of the registered search; the winner is fitted with all of them.
+RUNGS = (0.01, 0.03, 0.1)
 
 
 def boosted_model(cx: Context) -> Model:
@@ -132,7 +134,7 @@ def boosted_cross_validation(cx: Context):
 
 
 def searched(cx: Context):
-    return stored_result(cx.spark, cx.sf_dir, "halving", lambda: ml.halving_search(split(cx)[0], parallel=PARALLEL))
+    return stored_result(cx.spark, cx.sf_dir, "halving", lambda: ml.halving_search(split(cx)[0], rungs=RUNGS, parallel=PARALLEL))
 
 
 @query("ml9_random_search")

@@ -235,3 +235,21 @@ def test_model_beats_the_mean_where_a_signal_exists(spark):
     table = models.compare_regressors(train, test, {"Decision Tree": models.regressors()["Decision Tree"]}, ["x", "upc"])
     mae = {r.model: r.mae for r in table.collect()}
     assert mae["Decision Tree"] < mae["Baseline (UPC Mean)"]
+
+
+def test_model_comparisons_hold_their_metrics_not_their_models(spark):
+    rows = []
+    for i, w in enumerate(weeks(30)):
+        for upc in (1, 2):
+            x = float((i * 7 + upc) % 5)
+            rows.append((w, upc, "c", x, 3 * x + upc, int(x > 2)))
+    df = spark.createDataFrame(rows, "week_end_date date, upc int, category string, x double, units double, high_sales int")
+    train, test = models.time_split(df)
+    plan = lambda t: t._jdf.queryExecution().analyzed().toString()
+    regressions = models.compare_regressors(train, test, {"Decision Tree": models.regressors()["Decision Tree"]}, ["x", "upc"])
+    tree = {"Random Forest": models.classifiers(trees=3)["Random Forest"]}
+    classes = models.compare_classifiers(train, test, tree, columns=["x", "upc"])
+    assert "UDF" not in plan(regressions) and "UDF" not in plan(classes)
+    assert sorted(r.model for r in regressions.collect()) == ["Baseline (UPC Mean)", "Decision Tree"]
+    (row,) = classes.collect()
+    assert row.model == "Random Forest" and row.accuracy == 1.0 and row.auc == 1.0

@@ -253,3 +253,41 @@ def test_model_comparisons_hold_their_metrics_not_their_models(spark):
     assert sorted(r.model for r in regressions.collect()) == ["Baseline (UPC Mean)", "Decision Tree"]
     (row,) = classes.collect()
     assert row.model == "Random Forest" and row.accuracy == 1.0 and row.auc == 1.0
+
+
+def uneven_panel(spark, partitions=4):
+    """Weeks in order in a few partitions, the last one with few train rows."""
+    rows = [(w, upc, "c", float((i * 7 + upc) % 5), float(3 * ((i * 7 + upc) % 5) + upc)) for i, w in enumerate(weeks(24)) for upc in range(1, 9)]
+    kind = "week_end_date date, upc int, category string, x double, units double"
+    return spark.createDataFrame(rows, kind).repartitionByRange(partitions, "week_end_date")
+
+
+@pytest.fixture
+def fitted_rows(monkeypatch):
+    """Name and sizes of the partitions of every table stored."""
+    sizes = []
+    plain = models.Workspace.table
+
+    def table(self, df, name):
+        parts = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        sizes.append((name, [r["count"] for r in parts]))
+        return plain(self, df, name)
+
+    monkeypatch.setattr(models, "DEAL_ROWS", 50, raising=False)
+    monkeypatch.setattr(models.Workspace, "table", table)
+    return sizes
+
+
+def test_comparison_deals_its_rows_evenly(spark, fitted_rows):
+    """ml4: train rows of the first weeks lie in some partitions only."""
+    train, test = models.time_split(uneven_panel(spark))
+    out = models.compare_regressors(train, test, {"Decision Tree": models.regressors()["Decision Tree"]}, ["x", "upc"])
+    name, sizes = fitted_rows[0]
+    assert name == "train" and sum(sizes) == train.count()
+    assert max(sizes) * spark.sparkContext.defaultParallelism <= 1.4 * sum(sizes)
+    assert {r.model: r.row_count for r in out.collect()} == dict.fromkeys(["Baseline (UPC Mean)", "Decision Tree"], test.count())
+
+
+def test_small_fits_keep_their_rows_in_place(spark):
+    rows = uneven_panel(spark)
+    assert models.dealt(rows) is rows and models.dealt(rows, cut=True) is rows

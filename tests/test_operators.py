@@ -288,6 +288,16 @@ def test_comparison_deals_its_rows_evenly(spark, fitted_rows):
     assert {r.model: r.row_count for r in out.collect()} == dict.fromkeys(["Baseline (UPC Mean)", "Decision Tree"], test.count())
 
 
+def test_fit_deals_its_rows_evenly(spark, fitted_rows):
+    """rc2: the boosted model and the forest are fitted on rows in the order of their weeks."""
+    train, test = models.time_split(uneven_panel(spark))
+    model = models.fit(train, models.regressors()["Decision Tree"], ["x", "upc"])
+    ((name, sizes),) = fitted_rows
+    assert name == "train" and sum(sizes) == train.count()
+    assert max(sizes) * spark.sparkContext.defaultParallelism <= 1.4 * sum(sizes)
+    assert models.predict(model, test).count() == test.count()
+
+
 def test_small_fits_keep_their_rows_in_place(spark):
     rows = uneven_panel(spark)
     assert models.dealt(rows) is rows and models.dealt(rows, cut=True) is rows

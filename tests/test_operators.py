@@ -288,6 +288,17 @@ def test_comparison_deals_its_rows_evenly(spark, fitted_rows):
     assert {r.model: r.row_count for r in out.collect()} == dict.fromkeys(["Baseline (UPC Mean)", "Decision Tree"], test.count())
 
 
+def test_search_deals_its_rows_evenly(spark, fitted_rows):
+    """ml9: every fold trains on the first weeks only."""
+    space = {"maxIter": (10,), "maxDepth": (2,), "stepSize": (0.1, 0.2), "subsamplingRate": (1.0,)}
+    train = uneven_panel(spark)
+    out = models.halving_search(train, draws=2, space=space, columns=["x", "upc"], rungs=(0.1, 0.2), parallel=1)
+    ((name, sizes),) = fitted_rows
+    assert name == "train" and sum(sizes) == train.count()
+    assert max(sizes) * spark.sparkContext.defaultParallelism <= 1.4 * sum(sizes)
+    assert out.count() == 2
+
+
 def test_fit_deals_its_rows_evenly(spark, fitted_rows):
     """rc2: the boosted model and the forest are fitted on rows in the order of their weeks."""
     train, test = models.time_split(uneven_panel(spark))

@@ -7,7 +7,7 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import labels
@@ -312,3 +312,15 @@ def test_fit_deals_its_rows_evenly(spark, fitted_rows):
 def test_small_fits_keep_their_rows_in_place(spark):
     rows = uneven_panel(spark)
     assert models.dealt(rows) is rows and models.dealt(rows, cut=True) is rows
+
+
+def test_classifiers_score_after_an_observed_query(spark):
+    """A fitted classifier is sent to tasks; its summary would hold the session, which can't be."""
+    seen = Observation("before the fit")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = uneven_panel(spark).withColumn("high_sales", (F.col("x") > 2).cast("int"))
+    train, test = models.time_split(rows)
+    chosen = {k: v for k, v in models.classifiers(trees=3).items() if k != "Boosted Trees"}
+    out = models.compare_classifiers(train, test, chosen, columns=["x", "upc"])
+    assert sorted(r.model for r in out.collect()) == ["Logistic Regression", "Random Forest"]
